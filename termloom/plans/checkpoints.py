@@ -1,0 +1,24 @@
+"""Cutting a plan's lineage on storage that survives the loss of an executor."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Run ``df`` once and go on from its result, stored in the session's checkpoint folder.
+
+    The folder is ``spark.checkpoint.dir``. A local session may do without and gets a temporary one.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+            folder = tempfile.mkdtemp(prefix="termloom-checkpoint-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
