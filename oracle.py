@@ -134,7 +134,12 @@ RELATIONS = {
 
 # ---- rules --------------------------------------------------------------------------------------
 
-_W = "OVER (PARTITION BY id_num ORDER BY term_code NULLS FIRST)"
+# Several candidacy rows of one term are told apart by their codes, from then on by row_num.
+_W = (
+    "OVER (PARTITION BY id_num ORDER BY term_code NULLS FIRST, load_p_f NULLS FIRST, "
+    "candidacy_type NULLS FIRST)"
+)
+_R = "OVER (PARTITION BY id_num ORDER BY row_num)"
 
 
 def _has(event: str, text: str = "agg_sig_desc") -> str:
@@ -198,10 +203,10 @@ RELATIONS |= {
                        OVER (PARTITION BY id_num ORDER BY row_num) AS BIGINT) AS hist_group FROM coded""",
     "typed": f"""
         SELECT *,
-          CASE WHEN NOT starts AND lag(ini_styp) {_W} = '9' THEN 'C'
-               WHEN lag(ini_styp) {_W} IN ('2', '3') THEN 'A' ELSE ini_styp END AS styp_code,
+          CASE WHEN NOT starts AND lag(ini_styp) {_R} = '9' THEN 'C'
+               WHEN lag(ini_styp) {_R} IN ('2', '3') THEN 'A' ELSE ini_styp END AS styp_code,
           first_value(start_term) OVER g AS term_code_admit, first_value(ft_pt_ind) OVER g AS full_part_ind
-        FROM grouped WINDOW g AS (PARTITION BY id_num, hist_group ORDER BY term_code NULLS FIRST)""",
+        FROM grouped WINDOW g AS (PARTITION BY id_num, hist_group ORDER BY row_num)""",
 }
 
 # ---- curriculum ---------------------------------------------------------------------------------
@@ -236,7 +241,7 @@ def _pick(n: int, column: str, other: str) -> str:
 
 
 def _filled(c: str) -> str:
-    lags = ", ".join(f"lag({c}, {k}) {_W}" for k in range(1, CFG.fill_depth + 1))
+    lags = ", ".join(f"lag({c}, {k}) {_R}" for k in range(1, CFG.fill_depth + 1))
     return f"coalesce({c}, {lags}) AS {c}"
 
 
@@ -319,7 +324,6 @@ RELATIONS |= {
         FROM orders GROUP BY ALL""",
 }
 
-_CHAIN = "WITH " + ", ".join(f"{name} AS ({text})" for name, text in (INPUTS | RELATIONS).items())
 _DAYS = "OVER (PARTITION BY user_id ORDER BY day)"
 
 
@@ -399,5 +403,8 @@ EXPECTED = {
 }
 
 
-def expected_sql() -> dict[str, str]:
-    return {key: f"{_CHAIN} SELECT * FROM ({text})" for key, text in EXPECTED.items()}
+def expected_sql(own_inputs: bool = False) -> dict[str, str]:
+    """SQL per query. With ``own_inputs`` the nine input tables must exist instead of the star schema."""
+    relations = RELATIONS if own_inputs else INPUTS | RELATIONS
+    chain = ", ".join(f"{name} AS ({text})" for name, text in relations.items())
+    return {key: f"WITH {chain} SELECT * FROM ({text})" for key, text in EXPECTED.items()}

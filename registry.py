@@ -14,6 +14,7 @@ from termloom.operators import calendar as cal
 from termloom.operators import collapse, curriculum, events, history, output
 from termloom.operators.lookup import keep_keys, override_code
 from termloom.plans import student_history as plan
+from termloom.plans.checkpoints import checkpointed
 from termloom.plans.layout import LAYOUT
 from termloom.plans.student_history import student_term_history
 from termloom.sources import Sources
@@ -59,8 +60,12 @@ class Relations:
         return self.placed().select(*KEYS, F.trim("degr_cde").alias("degr_cde"), level).distinct()
 
     def term_events(self) -> DataFrame:
-        own = keep_keys(self.placed(), self.sources.cohort, "id_num")
-        return collapse.collapse(own, KEYS, {"sig_desc": "agg_sig_desc", "reason_code": "agg_reason_code"})
+        lists = {"sig_desc": "agg_sig_desc", "reason_code": "agg_reason_code"}
+        return keep_keys(collapse.collapse(self.placed(), KEYS, lists), self.sources.cohort, "id_num")
+
+    def event_terms(self) -> DataFrame:
+        """Students and terms with an event. Reduced first: the cohort may be too large to broadcast."""
+        return keep_keys(self.placed().select(*KEYS).distinct(), self.sources.cohort, "id_num")
 
     def term_majors(self) -> DataFrame:
         return curriculum.term_majors(self.event_majors())
@@ -148,15 +153,13 @@ def student_flags(r: Relations) -> DataFrame:
 
 def cohort_semi(r: Relations) -> DataFrame:
     attempting = r.sources.courses.where(course_rules.attempted_enrolment(r.cfg)).select("id_num").distinct()
-    own = keep_keys(r.placed(), r.sources.cohort, "id_num").select(*KEYS).distinct()
-    return keep_keys(own, attempting, "id_num")
+    return keep_keys(r.event_terms(), attempting, "id_num")
 
 
 def first_term_flag(r: Relations) -> DataFrame:
     first = r.bounds().select("id_num", term_code("first_term_date").alias("first"))
     same = F.when(F.col("first") == F.col("term_code"), F.lit("Y")).otherwise(F.lit("N"))
-    own = keep_keys(r.placed(), r.sources.cohort, "id_num").select(*KEYS).distinct()
-    return own.join(first, "id_num", "left").select(*KEYS, same.alias("is_first_term"))
+    return r.event_terms().join(first, "id_num", "left").select(*KEYS, same.alias("is_first_term"))
 
 
 def derived(*columns: str) -> Callable[[Relations], DataFrame]:
@@ -199,7 +202,8 @@ def layout(r: Relations) -> DataFrame:
 
 
 def follow_up_rows(r: Relations) -> DataFrame:
-    rows = r.derived().select(*KEYS, "stst_code", "row_count")
+    # Read twice: once for the terms that occur, once for the rows.
+    rows = checkpointed(r.derived().select(*KEYS, "stst_code", "row_count"))
     following = cal.lookup_side(output.next_in_domain(rows, "term_code", "next_term"))
     both = output.emit_follow_up(rows.join(following, "term_code", "left"), F.col("row_count") == 1, "sort")
     repeat = F.col("sort") == 2

@@ -17,15 +17,10 @@ def lookup_side(df: DataFrame, unique: str | None = None, max_rows: int = MAX_BR
     """
     small = df.persist()
     # One row over the bound is enough to know that a table is too large.
-    bounded = small.limit(max_rows + 1)
-    key = F.col(unique) if unique else F.lit(1)
-    rows, keyed, distinct = bounded.agg(F.count("*"), F.count(key), F.count_distinct(key)).first()
-    if rows > max_rows:
+    if small.limit(max_rows + 1).count() > max_rows:
         small.unpersist()
         return require_unique(df, unique) if unique else df
-    if unique and keyed != distinct:
-        require_unique(small, unique)
-    return F.broadcast(small)
+    return F.broadcast(require_unique(small, unique) if unique else small)
 
 
 def require_unique(df: DataFrame, key: str) -> DataFrame:
