@@ -41,7 +41,10 @@ _CONCS = f"(SELECT unnest({list(star.CONCENTRATIONS)}) AS conc)"
 
 INPUTS = {
     "year_terms": f"{_TERMS} UNION ALL SELECT 'ZZZZ', 'ZZ', DATE '1900-01-01', DATE '1900-01-01'",
-    "courses": f"SELECT {_list(star.COURSES)} FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+    "courses": (
+        f"SELECT {_list(star.COURSES)} FROM lineitem "
+        f"JOIN (SELECT {_list(star.COURSE_ORDER)} FROM orders) ON l_orderkey = o_orderkey"
+    ),
     "candidacy": (
         f"SELECT {_list(star.CANDIDACY_GROUP)}, {_list(star.CANDIDACY)} FROM orders "
         f"GROUP BY {', '.join(star.CANDIDACY_GROUP.values())}"

@@ -31,7 +31,7 @@ class Relations:
         self.spark, self.directory = spark, directory
         self.cfg = STAR_CONFIG
         self.sources: Sources = star_sources(spark, directory)
-        self.calendar = cal.term_calendar(self.sources.year_terms, self.cfg)
+        self.calendar = cal.term_calendar(self.sources.year_terms, self.cfg).persist()
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.directory, name)

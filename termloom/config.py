@@ -45,6 +45,8 @@ class Config:
     degree_marks: tuple[str, ...] = ("S", "BA", "BS")
     # ... or this code as an item with a neighbour on both sides.
     degree_middle_mark: str = "A"
+    # Compare the marks with whole codes instead.
+    whole_degree_marks: bool = False
     degree_level_floor: int = 3
 
     # Status.

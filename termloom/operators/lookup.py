@@ -8,19 +8,20 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 500_000
 
 
-def lookup_side(df: DataFrame, unique: str | None = None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup for broadcast if it really has at most ``max_rows`` rows.
+def lookup_side(df: DataFrame, unique: str | None = None, max_rows: int | None = None) -> DataFrame:
+    """Mark a lookup for broadcast if it really has at most ``max_rows`` (``MAX_BROADCAST_ROWS``) rows.
 
     The rows are counted, not estimated. A larger table comes back without a hint and is joined by
-    shuffle, where adaptive execution splits hot keys. A small one stays cached, so it is computed once.
+    shuffle, where adaptive execution splits hot keys. A small one is cached for its further uses.
     With ``unique``, fail if that column repeats a value: every matching row would be multiplied.
     """
-    small = df.persist()
-    # One row over the bound is enough to know that a table is too large.
-    if small.limit(max_rows + 1).count() > max_rows:
-        small.unpersist()
-        return require_unique(df, unique) if unique else df
-    return F.broadcast(require_unique(small, unique) if unique else small)
+    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    if unique:
+        require_unique(df, unique)
+    # One row over the bound is enough to know that a table is too large. Nothing is cached before that.
+    if df.limit(max_rows + 1).count() > max_rows:
+        return df
+    return F.broadcast(df.persist())
 
 
 def require_unique(df: DataFrame, key: str) -> DataFrame:

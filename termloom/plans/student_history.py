@@ -50,6 +50,22 @@ FILLED = (
     "program_1",
     "program_2",
 )
+# What the output is made of; everything else is dropped before the result is stored.
+KEPT = (
+    "id_num",
+    "term_code",
+    "row_num",
+    "row_count",
+    "weight",
+    "stst_code",
+    "levl_code",
+    "styp_code",
+    "full_part_ind",
+    "term_code_admit",
+    *FILLED,
+    "majr_code_conc_2",
+    "majr_code_1_2",
+)
 # Order of a student's rows; the last three only tell repeated candidacy rows apart.
 ROW_ORDER = ("term_code", "load_p_f", "candidacy_type", "piece")
 # Copies a repeated row is cut into before they are written out.
@@ -82,9 +98,12 @@ def dated_milestones(degrees: DataFrame, days: DataFrame) -> DataFrame:
 def milestone_rows(milestones: DataFrame, cfg: Config) -> DataFrame:
     degree = F.trim("degr_cde")
     level = status.degree_level(cfg)
-    mark = F.lit(False)
-    for text in cfg.degree_marks:
-        mark = mark | degree.contains(text)
+    if cfg.whole_degree_marks:
+        mark = degree.isin(*cfg.degree_marks, cfg.degree_middle_mark)
+    else:
+        mark = F.lit(False)
+        for text in cfg.degree_marks:
+            mark = mark | degree.contains(text)
     # A bit per level (and one for none): the middle mark is an item for each different level.
     bit = F.call_function("shiftleft", F.lit(1), F.coalesce(level + 2, F.lit(0)))
     return milestones.select(
@@ -370,5 +389,5 @@ def output_rows(history: DataFrame, external_ids: DataFrame, cfg: Config, sort:
 def student_term_history(sources: Sources, cfg: Config | None = None, sort: bool = True) -> DataFrame:
     """The whole conversion: one row per student and term in the target layout, sorted by id and term."""
     cfg = cfg or Config()
-    history = checkpointed(history_rows(sources, cfg))
+    history = checkpointed(history_rows(sources, cfg).select(*KEPT))
     return output_rows(history, sources.external_ids, cfg, sort)

@@ -53,11 +53,13 @@ TERMS = (
     (f"concat({two_digits('y - 1')}, {two_digits('y')})", "SU", (6, 1), (7, 31)),
     (f"concat({two_digits('y')}, {two_digits('y + 1')})", "FA", (8, 20), (12, 15)),
 )
+# What a course row takes from its order, worked out once per order.
+COURSE_ORDER = {"o_orderkey": "o_orderkey", "id_num": ACCOUNT, "yr": YEAR, "trm": TERM}
 _MOVED = "l_linenumber = 7 AND l_returnflag = 'R'"
 COURSES = {
-    "id_num": ACCOUNT,
-    "yr_cde": f"CASE WHEN {_MOVED} THEN 'TRAN' ELSE {YEAR} END",
-    "trm_cde": f"CASE WHEN {_MOVED} THEN 'TR' ELSE {TERM} END",
+    "id_num": "id_num",
+    "yr_cde": f"CASE WHEN {_MOVED} THEN 'TRAN' ELSE yr END",
+    "trm_cde": f"CASE WHEN {_MOVED} THEN 'TR' ELSE trm END",
     "grade_cde": (
         "CASE WHEN l_returnflag = 'R' AND l_quantity <= 10 THEN 'T' "
         "WHEN l_returnflag = 'N' AND l_quantity > 45 THEN NULL ELSE 'A' END"
@@ -154,7 +156,8 @@ def star_sources(spark: SparkSession, directory: str) -> Sources:
     orders, lineitem, customer, part = (
         read_table(spark, directory, t) for t in ("orders", "lineitem", "customer", "part")
     )
-    courses = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(*_named(COURSES))
+    course_orders = orders.select(*_named(COURSE_ORDER))
+    courses = lineitem.join(course_orders, F.col("l_orderkey") == F.col("o_orderkey")).select(*_named(COURSES))
     records = orders.groupBy(*_named(RECORD_GROUP)).agg(*_named(RECORD))
     majors = part.select(*_named(MAJORS)).distinct()
     with_conc = majors.select("*", F.explode(F.array(*[F.lit(c) for c in CONCENTRATIONS])).alias("conc"))
