@@ -8,20 +8,23 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 500_000
 
 
+def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether a table really has at most ``max_rows`` (``MAX_BROADCAST_ROWS``) rows: counted, not estimated."""
+    bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    # One row over the bound is enough to know that a table is too large.
+    return df.limit(bound + 1).count() <= bound
+
+
 def lookup_side(df: DataFrame, unique: str | None = None, max_rows: int | None = None) -> DataFrame:
-    """Mark a lookup for broadcast if it really has at most ``max_rows`` (``MAX_BROADCAST_ROWS``) rows.
+    """Mark a lookup for broadcast if it is small; a small one is cached for its further uses.
 
-    The rows are counted, not estimated. A larger table comes back without a hint and is joined by
-    shuffle, where adaptive execution splits hot keys. A small one is cached for its further uses.
-    With ``unique``, fail if that column repeats a value: every matching row would be multiplied.
+    A larger table comes back without a hint and is joined by shuffle, where adaptive execution
+    splits hot keys. With ``unique``, fail if that column repeats a value: every matching row would
+    be multiplied.
     """
-    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
     if unique:
         require_unique(df, unique)
-    # One row over the bound is enough to know that a table is too large. Nothing is cached before that.
-    if df.limit(max_rows + 1).count() > max_rows:
-        return df
-    return F.broadcast(df.persist())
+    return F.broadcast(df.persist()) if is_small(df, max_rows) else df
 
 
 def require_unique(df: DataFrame, key: str) -> DataFrame:

@@ -2,9 +2,9 @@
 
 How the data moves:
 
-1. Course rows and degree milestones become rows of the same shape, keyed by student and term, and
-   meet in ONE aggregation with constant-size buffers. Each big table is read once and reduced before
-   the shuffle, so a student or term with very many rows costs no more than any other.
+1. Course rows, degree milestones and cohort marks become rows of the same shape, keyed by student and
+   term, and meet in ONE aggregation with constant-size buffers. Rows are reduced before the shuffle,
+   so a student or term with very many rows costs no more than any other.
 2. Degree slots and declared loads arrive with the same partitioning and join without moving it.
 3. One shuffle by student; a student now has at most one row per term, and every window of the plan
    (enrolment bounds, neighbours, groups, fill) runs on that partitioning and one sort order.
@@ -13,6 +13,8 @@ How the data moves:
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,16 +31,16 @@ from termloom.operators.curriculum import (
     two_slots,
     unpivot_slots,
 )
-from termloom.operators.events import milestone_events
+from termloom.operators.events import CURRICULUM, MILESTONES, unpivot_dates
 from termloom.operators.history import RUNNING, WHOLE, fill_forward, in_order
-from termloom.operators.lookup import keep_keys, lookup_side, override_code
+from termloom.operators.lookup import is_small, keep_keys, lookup_side, override_code
 from termloom.operators.output import emit_follow_up, next_in_domain, project_layout
 from termloom.plans.checkpoints import checkpointed
 from termloom.plans.layout import LAYOUT
 from termloom.sources import Sources
 
 MILESTONE_FLAGS = (status.ENTRY, status.EXIT, status.CONFERRED, status.WITHDRAWN)
-STUDENT_FLAGS = ("is_enrolled", "is_transfer", "is_active", "has_attempted")
+STUDENT_FLAGS = ("is_enrolled", "is_transfer", "is_active", "has_attempted", "in_cohort")
 FILLED = (
     "coll_code_1",
     "degc_code_1",
@@ -91,8 +93,9 @@ def course_rows(courses: DataFrame, codes: DataFrame, cfg: Config) -> DataFrame:
 
 
 def dated_milestones(degrees: DataFrame, days: DataFrame) -> DataFrame:
-    dated = milestone_events(degrees).where(F.col("sig_date").isNotNull())
-    return interval_lookup(dated, days, "sig_date")
+    # Without the reasons, which no rule reads.
+    milestones = unpivot_dates(degrees, MILESTONES, ("id_num", *CURRICULUM))
+    return interval_lookup(milestones.where(F.col("sig_date").isNotNull()), days, "sig_date")
 
 
 def milestone_rows(milestones: DataFrame, cfg: Config) -> DataFrame:
@@ -187,7 +190,7 @@ def with_enrolment_events(terms: DataFrame, days: DataFrame) -> DataFrame:
         F.min("first_on").over(student).alias("first_on"),
         F.max("last_on").over(student).alias("last_on"),
         F.row_number().over(by_term).alias("_row"),
-    ).where("has_attempted")
+    ).where("has_attempted and in_cohort")
     facts = interval_lookup(facts, days, "first_on", "first_term")
     facts = interval_lookup(facts, days, "last_on", "last_term")
 
@@ -256,20 +259,37 @@ def repeated_rows(facts: DataFrame, cfg: Config) -> DataFrame:
     return counted.select("*", F.posexplode(weights).alias("piece", "weight")).drop("copies")
 
 
+def cohort_rows(cohort: DataFrame) -> DataFrame:
+    """A mark per student to convert, which travels with the student's other rows instead of a join."""
+    return cohort.select("id_num", F.lit(None).cast("int").alias("term_code"), F.lit(True).alias("in_cohort"))
+
+
+def within_small_cohort(sources: Sources) -> Sources:
+    """Drop the rows of other students while scanning, if the cohort is small enough to send everywhere."""
+    if not is_small(sources.cohort):
+        return sources
+    cohort = F.broadcast(sources.cohort)
+    tables = ("courses", "candidacy", "degrees")
+    return dataclasses.replace(sources, **{t: keep_keys(getattr(sources, t), cohort, "id_num") for t in tables})
+
+
 def term_facts(sources: Sources, cfg: Config) -> DataFrame:
     """Steps 1-3: the facts of every (student, term) in which an event falls, before any rule."""
+    sources = within_small_cohort(sources)
     calendar = term_calendar(sources.year_terms, cfg).persist()
     codes, days = term_codes(calendar), term_days(calendar)
     milestones = dated_milestones(sources.degrees, days)
-    rows = course_rows(sources.courses, codes, cfg).unionByName(
-        milestone_rows(milestones, cfg), allowMissingColumns=True
+    rows = (
+        course_rows(sources.courses, codes, cfg)
+        .unionByName(milestone_rows(milestones, cfg), allowMissingColumns=True)
+        .unionByName(cohort_rows(sources.cohort), allowMissingColumns=True)
+        .where("id_num is not null")
     )
     terms = (
         collapsed_terms(rows)
         .join(degree_slots(milestones, sources.majors, cfg), [*SLOT_KEYS], "left")
         .join(declared_loads(sources.candidacy, codes, cfg), [*SLOT_KEYS], "left")
     )
-    terms = keep_keys(terms, sources.cohort, "id_num")
     return repeated_rows(with_enrolment_events(terms, days), cfg)
 
 

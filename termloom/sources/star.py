@@ -130,7 +130,7 @@ def _named(columns: dict[str, str]) -> list:
 
 
 def _year_terms(orders: DataFrame) -> DataFrame:
-    years = orders.select(F.year("o_orderdate").alias("y")).distinct()
+    years = orders.select(F.year("o_orderdate").alias("y")).distinct().persist()
     terms = [
         F.struct(
             F.expr(year).alias("yr_cde"),
@@ -159,7 +159,8 @@ def star_sources(spark: SparkSession, directory: str) -> Sources:
     course_orders = orders.select(*_named(COURSE_ORDER))
     courses = lineitem.join(course_orders, F.col("l_orderkey") == F.col("o_orderkey")).select(*_named(COURSES))
     records = orders.groupBy(*_named(RECORD_GROUP)).agg(*_named(RECORD))
-    majors = part.select(*_named(MAJORS)).distinct()
+    # Code tables derived from large ones are worked out once; each has a few dozen rows.
+    majors = part.select(*_named(MAJORS)).distinct().persist()
     with_conc = majors.select("*", F.explode(F.array(*[F.lit(c) for c in CONCENTRATIONS])).alias("conc"))
     digits = F.array(*[F.lit(d) for d in ACCOUNT_DIGITS])
     accounts = customer.select("*", F.explode(digits).alias("d"))
