@@ -41,6 +41,7 @@ from termloom.sources import Sources
 
 MILESTONE_FLAGS = (status.ENTRY, status.EXIT, status.CONFERRED, status.WITHDRAWN)
 STUDENT_FLAGS = ("is_enrolled", "is_transfer", "is_active", "has_attempted", "in_cohort")
+DEGREE_FLAGS = ("has_major", "has_degree", "has_mark", "has_before", "has_after")
 FILLED = (
     "coll_code_1",
     "degc_code_1",
@@ -78,17 +79,38 @@ def name_of(event: str) -> str:
     return "has_" + event.replace(" ", "_")
 
 
+# All yes/no facts of a row share one integer, so that one aggregate gathers them.
+FLAGS = (*STUDENT_FLAGS, *map(name_of, MILESTONE_FLAGS), *DEGREE_FLAGS)
+
+
+def flags_of(facts: dict[str, Column]) -> Column:
+    """The integer with a bit for every fact that is true."""
+    bits = F.lit(0)
+    for name, fact in facts.items():
+        bits = bits + F.when(fact, F.lit(1 << FLAGS.index(name))).otherwise(0)
+    return bits.alias("flags")
+
+
+def flag(name: str, flags: str | Column = "flags") -> Column:
+    flags = F.col(flags) if isinstance(flags, str) else flags
+    return flags.bitwiseAND(F.lit(1 << FLAGS.index(name))) != 0
+
+
 def course_rows(courses: DataFrame, codes: DataFrame, cfg: Config) -> DataFrame:
-    valid = F.coalesce(course_rules.valid_enrolment(cfg), F.lit(False))
+    valid = course_rules.valid_enrolment(cfg)
     return attach_term(courses, codes).select(
         *SLOT_KEYS,
         F.col("hrs_attempted").alias("hours"),
         F.when(valid, F.col("trm_begin_dte")).alias("enrolled_on"),
         F.when(valid, course_rules.credit_rank(cfg)).alias("credit_rank"),
-        valid.alias("is_enrolled"),
-        course_rules.is_transfer(cfg).alias("is_transfer"),
-        course_rules.is_active(cfg).alias("is_active"),
-        course_rules.attempted_enrolment(cfg).alias("has_attempted"),
+        flags_of(
+            {
+                "is_enrolled": valid,
+                "is_transfer": course_rules.is_transfer(cfg),
+                "is_active": course_rules.is_active(cfg),
+                "has_attempted": course_rules.attempted_enrolment(cfg),
+            }
+        ),
     )
 
 
@@ -111,14 +133,18 @@ def milestone_rows(milestones: DataFrame, cfg: Config) -> DataFrame:
     bit = F.call_function("shiftleft", F.lit(1), F.coalesce(level + 2, F.lit(0)))
     return milestones.select(
         *SLOT_KEYS,
-        *[(F.col("sig_desc") == event).alias(name_of(event)) for event in MILESTONE_FLAGS],
         level.alias("level"),
-        F.col("major_1").isNotNull().alias("has_major"),
-        degree.isNotNull().alias("has_degree"),
-        mark.alias("has_mark"),
-        (degree < cfg.degree_middle_mark).alias("has_before"),
-        (degree > cfg.degree_middle_mark).alias("has_after"),
         F.when(degree == cfg.degree_middle_mark, bit).alias("middle_bits"),
+        flags_of(
+            {
+                **{name_of(event): F.col("sig_desc") == event for event in MILESTONE_FLAGS},
+                "has_major": F.col("major_1").isNotNull(),
+                "has_degree": degree.isNotNull(),
+                "has_mark": mark,
+                "has_before": degree < cfg.degree_middle_mark,
+                "has_after": degree > cfg.degree_middle_mark,
+            }
+        ),
     )
 
 
@@ -156,15 +182,6 @@ def declared_loads(candidacy: DataFrame, codes: DataFrame, cfg: Config) -> DataF
 
 def collapsed_terms(rows: DataFrame) -> DataFrame:
     """One row per student and term, with every fact as a sum, bound or flag."""
-    flags = [
-        *STUDENT_FLAGS,
-        *map(name_of, MILESTONE_FLAGS),
-        "has_major",
-        "has_degree",
-        "has_mark",
-        "has_before",
-        "has_after",
-    ]
     return rows.groupBy(*SLOT_KEYS).agg(
         F.sum("hours").alias("hours"),
         F.min("enrolled_on").alias("first_on"),
@@ -172,7 +189,7 @@ def collapsed_terms(rows: DataFrame) -> DataFrame:
         F.max("credit_rank").alias("credit_rank"),
         F.max("level").alias("level"),
         F.bit_or("middle_bits").alias("middle_bits"),
-        *[F.coalesce(F.max(f), F.lit(False)).alias(f) for f in flags],
+        F.bit_or("flags").alias("flags"),
     )
 
 
@@ -184,43 +201,41 @@ def with_enrolment_events(terms: DataFrame, days: DataFrame) -> DataFrame:
     """
     by_term = in_order("id_num", "term_code")
     student = by_term.rowsBetween(*WHOLE)
-    facts = terms.select(
-        *[F.col(c) for c in terms.columns if c not in ("first_on", "last_on", *STUDENT_FLAGS)],
-        *[F.max(c).over(student).alias(c) for c in STUDENT_FLAGS],
+    bounds = terms.select(
+        *[F.col(c) for c in terms.columns if c not in ("first_on", "last_on")],
+        F.bit_or("flags").over(student).alias("student_flags"),
         F.min("first_on").over(student).alias("first_on"),
         F.max("last_on").over(student).alias("last_on"),
         F.row_number().over(by_term).alias("_row"),
-    ).where("has_attempted and in_cohort")
-    facts = interval_lookup(facts, days, "first_on", "first_term")
-    facts = interval_lookup(facts, days, "last_on", "last_term")
+    ).where(flag("has_attempted", "student_flags") & flag("in_cohort", "student_flags"))
+    bounds = interval_lookup(bounds, days, "first_on", "first_term")
+    bounds = interval_lookup(bounds, days, "last_on", "last_term")
 
+    enrolled = flag("is_enrolled", "student_flags")
     no_term = F.col("first_term").isNull() | F.col("last_term").isNull()
-    missing = F.col("is_enrolled") & no_term & (F.col("_row") == 1) & F.col("term_code").isNotNull()
-    facts = emit_follow_up(facts, missing, "_part")
-    added = F.col("_part") == 2
-    term = F.when(~added, F.col("term_code"))
-    per_student = {*STUDENT_FLAGS, "id_num", "first_on", "last_on", "first_term", "last_term"}
-    milestone_flags = set(map(name_of, MILESTONE_FLAGS))
-
-    def value(c: str) -> Column:
-        if c in per_student:
-            return F.col(c)
-        if c in milestone_flags:
-            return ~added & F.col(c)
-        return F.when(term.isNotNull(), F.col(c))
-
-    starts = F.col("is_enrolled") & term.eqNullSafe(F.col("first_term"))
-    ends = F.col("is_enrolled") & term.eqNullSafe(F.col("last_term"))
-    facts = facts.select(
+    missing = enrolled & no_term & (F.col("_row") == 1) & F.col("term_code").isNotNull()
+    bounds = emit_follow_up(bounds, missing, "_part")
+    own = F.col("_part") == 1
+    term = F.when(own, F.col("term_code"))
+    has = {
+        **{e: own & flag(name_of(e)) for e in MILESTONE_FLAGS},
+        status.START: enrolled & term.eqNullSafe(F.col("first_term")),
+        status.LAST: enrolled & term.eqNullSafe(F.col("last_term")),
+    }
+    used = ("term_code", "flags", "student_flags", "first_on", "last_on", "first_term", "last_term", "_row", "_part")
+    by_term_only = [c for c in bounds.columns if c not in (*used, "id_num")]
+    facts = bounds.select(
+        "id_num",
         term.alias("term_code"),
-        *[value(c).alias(c) for c in facts.columns if c not in ("term_code", "_row", "_part")],
-        starts.alias(name_of(status.START)),
-        ends.alias(name_of(status.LAST)),
+        flag("is_transfer", "student_flags").alias("is_transfer"),
+        flag("is_active", "student_flags").alias("is_active"),
+        *[F.when(term.isNotNull(), F.col(c)).alias(c) for c in by_term_only],
+        *[F.when(term.isNotNull(), flag(c)).alias(c) for c in DEGREE_FLAGS],
+        *[fact.alias(name_of(event)) for event, fact in has.items()],
     )
-    events = [F.col(name_of(e)) for e in (*MILESTONE_FLAGS, status.START, status.LAST)]
-    happened = events[0]
-    for event in events[1:]:
-        happened = happened | event
+    happened = F.lit(False)
+    for event in has:
+        happened = happened | F.col(name_of(event))
     return facts.where(happened)
 
 
@@ -261,7 +276,9 @@ def repeated_rows(facts: DataFrame, cfg: Config) -> DataFrame:
 
 def cohort_rows(cohort: DataFrame) -> DataFrame:
     """A mark per student to convert, which travels with the student's other rows instead of a join."""
-    return cohort.select("id_num", F.lit(None).cast("int").alias("term_code"), F.lit(True).alias("in_cohort"))
+    return cohort.select(
+        "id_num", F.lit(None).cast("int").alias("term_code"), flags_of({"in_cohort": F.lit(True)})
+    )
 
 
 def within_small_cohort(sources: Sources) -> Sources:
@@ -339,13 +356,12 @@ def derived_codes(facts: DataFrame, cfg: Config) -> DataFrame:
         status.student_type(F.col("starts"), F.col("ini_styp"), F.col("previous_styp")).alias("styp_code"),
     ).drop("previous_styp", *neighbours)
     # The first row of a group is a start row, or the student's first row: carrying its values forward
-    # needs no window over groups and hence no other sort.
-    opening = F.when(F.col("starts") | (F.col("row_num") == 1), F.struct("start_term", "ft_pt_ind"))
-    first = F.last(opening, ignorenulls=True).over(running)
-    return coded.withColumn("_first", first).select(
-        *coded.columns,
-        F.col("_first.start_term").alias("term_code_admit"),
-        F.col("_first.ft_pt_ind").alias("full_part_ind"),
+    # needs no window over groups and hence no other sort. A 0 stands for a row without a term.
+    opens = F.col("starts") | (F.col("row_num") == 1)
+    admit = F.last(F.when(opens, F.coalesce("start_term", F.lit(0))), ignorenulls=True).over(running)
+    load = F.last(F.when(opens, F.col("ft_pt_ind")), ignorenulls=True).over(running)
+    return coded.select(
+        "*", F.nullif(admit, F.lit(0)).alias("term_code_admit"), load.alias("full_part_ind")
     )
 
 
