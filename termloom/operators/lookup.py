@@ -10,11 +10,15 @@ MAX_BROADCAST_ROWS = 500_000
 
 def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
     """Whether a table really has at most ``max_rows`` (``MAX_BROADCAST_ROWS``) rows: counted, not estimated."""
-    bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    bound = _bound(max_rows)
     # One row over the bound is enough to know that a table is too large.
     return df.limit(bound + 1).count() <= bound
 
 
+def _bound(max_rows: int | None) -> int:
+    return MAX_BROADCAST_ROWS if max_rows is None else max_rows
+
+
 def lookup_side(df: DataFrame, unique: str | None = None, max_rows: int | None = None) -> DataFrame:
     """Mark a lookup for broadcast if it is small; a small one is cached for its further uses.
 
@@ -22,17 +26,18 @@ def lookup_side(df: DataFrame, unique: str | None = None, max_rows: int | None =
     splits hot keys. With ``unique``, fail if that column repeats a value: every matching row would
     be multiplied.
     """
-    if unique:
-        require_unique(df, unique)
-    return F.broadcast(df.persist()) if is_small(df, max_rows) else df
-
-
-def require_unique(df: DataFrame, key: str) -> DataFrame:
-    """Fail and name some values if a column repeats a value; NULLs may repeat."""
-    repeated = df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").limit(3).collect()
-    if repeated:
-        raise ValueError(f"{key} occurs more than once in a lookup table, for example {[r[0] for r in repeated]}")
-    return df
+    small = rows_of_unique(df, unique) <= _bound(max_rows) if unique else is_small(df, max_rows)
+    return F.broadcast(df.persist()) if small else df
+
+
+def rows_of_unique(df: DataFrame, key: str) -> int:
+    """Number of rows; fails and names a value if a column repeats one. NULLs may repeat."""
+    per_key = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
+    repeated = F.when(F.col("key").isNotNull() & (F.col("n") > 1), F.col("key"))
+    rows, example = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max(repeated)).first()
+    if example is not None:
+        raise ValueError(f"{key} occurs more than once in a lookup table, for example {example!r}")
+    return rows
 
 
 def override_code(df: DataFrame, key: str, value: str, mapping: dict[str, str]) -> DataFrame:
