@@ -4,6 +4,7 @@ import datetime
 
 import made_up
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from termloom import Config, student_term_history
@@ -15,7 +16,7 @@ from termloom.plans import student_history as plan
 from termloom.sources import normalize_codes
 
 D = datetime.date
-CFG = Config(active_year="9999", cutoff_term=202301, current_terms=(202301, 202306))
+CFG = Config(active_year="2021", cutoff_term=202301, current_terms=(202301, 202306))
 TERMS = [
     ("2122", "FA", D(2021, 8, 20), D(2021, 12, 15)),
     ("2122", "SP", D(2022, 1, 10), D(2022, 5, 5)),
@@ -47,16 +48,76 @@ def degree(student, entry, degr="BA", major="M1", exit_=None, conferred=None, wi
     )
 
 
+MAJORS = [("M1", "BA"), ("M2", "BS"), ("M3", "V"), ("M4", "BA")]
+FULL_MAP = [
+    ("BAM1", "U", "BA", "BM1", None, "PM1"),
+    ("BAM4", "U", "BA", "BM4", "K4", "PM4"),
+    ("BSM2", "U", "BS", "BM2", "K2", "PM2"),
+]
+PLAIN_MAP = [("BA", "U", "BAX", "P-BA"), ("BS", "W", "BSX", "P-BS")]
+
+
+def two_terms(student):
+    return [course(student, "2122", "FA"), course(student, "2122", "SP")]
+
+
+def active(student):
+    """Makes a student active without an event: the grade is not valid, the term not in the calendar."""
+    return course(student, "2021", "SP", grade="T")
+
+
 def converted(spark, cfg=CFG, **rows):
-    rows.setdefault("year_terms", TERMS)
-    ids = {r[0] for r in rows.get("courses", [])}
-    rows.setdefault("cohort", [(i,) for i in ids])
-    rows.setdefault("external_ids", [(str(i), i) for i in ids])
-    rows.setdefault("majors", [("M1", "BA"), ("M2", "BS"), ("M3", "V"), ("M4", "BA")])
-    sources, _ = made_up.tables(spark, rows)
+    sources, _ = made_up.tables(spark, {"year_terms": TERMS, "majors": MAJORS, **rows})
     return student_term_history(sources, cfg).collect()
 
 
+@pytest.fixture(scope="module")
+def mixed(spark):
+    """One conversion of many students, each a case of its own; the target id is the student id."""
+    rows = {
+        "courses": [
+            *two_terms(1),
+            *[course(2, "2122", "FA"), course(2, "2223", "SU")],
+            course(3, "1999", "FA"),
+            *[course(4, "2122", "FA"), course(4, "2122", "SU")],
+            *[course(4, "2122", "SP", grade=g) for g in ("T", "TU", None)],
+            *[course(4, "2122", "SP", state=s) for s in ("D", None)],
+            *[course(4, "2122", "SP", credit=0), course(4, "TRAN", "TR")],
+            *[course(5, "2122", "FA", 6), course(5, "2122", "FA", 6, state="D"), course(5, "2122", "SP", 6)],
+            *[course(6, "2122", "FA", 6), course(6, "2122", "SP", 6)],
+            *[c for student in (7, 8, 9, 17, 18) for c in two_terms(student)],
+            *[active(17), active(18)],
+            *[course(10, "2122", "FA", None), course(10, "2122", "SP", None), course(10, "2122", "SU", 3)],
+            course(11, "2122", "FA"),
+            course(12, "2122", "FA", hours=0),
+            *two_terms(13),
+        ],
+        "degrees": [
+            degree(1, D(2021, 9, 1), conferred=D(2023, 7, 1)),
+            degree(7, D(2021, 9, 1), major_2="M2"),
+            degree(17, D(2021, 9, 1), major_2="M2"),
+            degree(8, D(2021, 9, 1), major_2="M4"),
+            degree(18, D(2021, 9, 1), major_2="M4"),
+            degree(9, D(2021, 9, 1), degr="V", major="M3"),
+        ],
+        "candidacy": [
+            (10, "2122", "FA", "P", "1"),
+            (10, "2122", "FA", "F", "1"),
+            (10, "ZZZZ", "ZZ", "F", "1"),
+            (10, "ZZZZ", "FA", "F", "1"),
+        ],
+        "code_map": FULL_MAP,
+        "degree_map": PLAIN_MAP,
+        "cohort": [(i,) for i in range(1, 20) if i != 11] + [(1,)],
+        "external_ids": [(str(i), i) for i in range(1, 20) if i != 13] + [("x", 8)],
+    }
+    return converted(spark, **rows)
+
+
+def of(rows, student):
+    return [r for r in rows if r.pidm == student]
+
+
 def column(rows, name):
     return [r[name] for r in rows]
 
@@ -161,69 +222,58 @@ def test_joined_text_is_sorted_keeps_repeats_and_blanks_and_skips_nulls(spark):
     assert [tuple(r) for r in got] == [(1, ";a;b;b", 9), (2, None, None)]
 
 
-def test_event_after_the_last_begin_makes_a_row_without_term(spark):
-    rows = converted(
-        spark,
-        courses=[course(1, "2122", "FA"), course(1, "2122", "SP")],
-        degrees=[degree(1, D(2021, 9, 1), conferred=D(2023, 7, 1))],
-    )
+def test_event_after_the_last_begin_makes_a_row_without_term(mixed):
+    rows = of(mixed, 1)
     assert column(rows, "term_code_eff") == [None, 202108, 202201]
     assert column(rows, "stst_code") == ["GR", "AS", "IS"]
 
 
-def test_enrolment_in_the_last_term_adds_a_row_without_term(spark):
-    rows = converted(spark, courses=[course(1, "2122", "FA"), course(1, "2223", "SU")])
+def test_enrolment_in_the_last_term_adds_a_row_without_term(mixed):
+    rows = of(mixed, 2)
     assert column(rows, "term_code_eff") == [None, 202108]
-    # The last row ends a history that lies before the cutoff; the one without a term has no such test.
     assert column(rows, "stst_code") == [None, "IS"]
 
 
-def test_enrolment_only_in_unknown_terms(spark):
-    rows = converted(spark, courses=[course(1, "1999", "FA")])
-    assert [(r.term_code_eff, r.sort, r.stst_code) for r in rows] == [(None, 1, "AS"), (None, 2, "AS")]
+def test_enrolment_only_in_unknown_terms(mixed):
+    got = [(r.term_code_eff, r.sort, r.stst_code) for r in of(mixed, 3)]
+    assert got == [(None, 1, "AS"), (None, 2, "AS")]
 
 
-def test_invalid_courses_do_not_count(spark):
-    bad = [
-        course(1, "2122", "SP", grade="T"),
-        course(1, "2122", "SP", grade=None),
-        course(1, "2122", "SP", state="D"),
-        course(1, "2122", "SP", state=None),
-        course(1, "2122", "SP", credit=0),
-        course(1, "TRAN", "TR"),
-    ]
-    rows = converted(spark, courses=[course(1, "2122", "FA"), *bad, course(1, "2122", "SU")])
+def test_invalid_courses_do_not_count(mixed):
+    rows = of(mixed, 4)
     assert column(rows, "term_code_eff") == [202108, 202205]
     assert column(rows, "styp_code")[0] == "2"
 
 
-def test_hours_count_dropped_courses(spark):
-    courses = [course(1, "2122", "FA", 6), course(1, "2122", "FA", 6, state="D"), course(1, "2122", "SP", 6)]
-    rows = converted(spark, courses=courses)
-    assert column(rows, "full_part_ind") == ["F", "F"]
-    assert column(converted(spark, courses=courses[::2]), "full_part_ind") == ["P", "P"]
+def test_hours_count_dropped_courses(mixed):
+    assert column(of(mixed, 5), "full_part_ind") == ["F", "F"]
+    assert column(of(mixed, 6), "full_part_ind") == ["P", "P"]
+
 
+def test_students_outside_cohort_or_without_attempts(mixed):
+    assert not of(mixed, 11) and not of(mixed, 12)
 
-def test_students_outside_cohort_or_without_attempts(spark):
-    courses = [course(1, "2122", "FA"), course(2, "2122", "FA"), course(3, "2122", "FA", hours=0)]
-    rows = converted(spark, courses=courses, cohort=[(1,), (3,), (1,)])
-    assert set(column(rows, "pidm")) == {1}
+
+def test_candidacy_rows_multiply_and_only_double_dummies_drop(mixed):
+    assert column(of(mixed, 10), "term_code_eff") == [202108, 202108, 202205]
 
 
 # ---- rules --------------------------------------------------------------------------------------
 
 
-def one(spark, *columns):
-    return tuple(spark.range(1).select(*columns).first())
+def check(spark, ddl, cases, code):
+    """Each case is the input columns and the expected code; all run as one frame."""
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], f"i int, {ddl}, expected string")
+    wrong = df.select("*", code.alias("got")).where(~F.col("got").eqNullSafe(F.col("expected"))).collect()
+    assert not wrong, wrong
 
 
-def L(value, kind="int"):
-    return F.lit(value).cast(kind)
+def has_events(*names):
+    return {e: F.array_contains("events", e) for e in names}
 
 
-@pytest.mark.parametrize(
-    "hours, before, after, row, declared, expected",
-    [
+def test_load(spark):
+    cases = [
         (12, None, None, 1, None, "F"),
         (11, None, None, 1, "F", "P"),
         (0, 12, 12, 1, "P", "P"),
@@ -235,16 +285,14 @@ def L(value, kind="int"):
         (None, None, None, 1, "P", "P"),
         (None, 0, None, 2, "P", "P"),
         (None, None, None, 3, None, "F"),
-    ],
-)
-def test_load(spark, hours, before, after, row, declared, expected):
-    load = status.load_indicator(CFG, L(hours), L(before), L(after), L(row), L(declared, "string"))
-    assert one(spark, load) == (expected,)
+    ]
+    names = ("hours", "before", "after", "row", "declared")
+    load = status.load_indicator(CFG, *[F.col(n) for n in names])
+    check(spark, "hours int, before int, after int, row int, declared string", cases, load)
 
 
-@pytest.mark.parametrize(
-    "level, before, after, rank, events_here, entry_before, entry_after, expected",
-    [
+def test_level(spark):
+    cases = [
         (-1, None, None, None, (), False, False, "XX"),
         (0, 3, 3, 3, (status.LAST,), True, True, None),
         (1, None, None, None, (), False, False, "CE"),
@@ -264,19 +312,16 @@ def test_load(spark, hours, before, after, row, declared, expected):
         (None, 3, 1, 2, (status.START,), None, None, "VO"),
         (None, 3, 1, None, (status.START,), False, False, "00"),
         (None, 3, 3, 3, (status.EXIT,), True, True, None),
-    ],
-)
-def test_level(spark, level, before, after, rank, events_here, entry_before, entry_after, expected):
-    has = {e: F.lit(e in events_here) for e in (status.START, status.LAST)}
-    code = status.level_code(
-        CFG, L(level), L(before), L(after), L(rank), has, L(entry_before, "boolean"), L(entry_after, "boolean")
-    )
-    assert one(spark, code) == (expected,)
+    ]
+    has = has_events(status.START, status.LAST)
+    names = ("level", "before", "after", "rank")
+    code = status.level_code(CFG, *[F.col(n) for n in names], has, F.col("entry_before"), F.col("entry_after"))
+    ddl = "level int, before int, after int, rank int, events array<string>, entry_before boolean, entry_after boolean"
+    check(spark, ddl, cases, code)
 
 
-@pytest.mark.parametrize(
-    "term, row, count, events_here, expected",
-    [
+def test_status(spark):
+    cases = [
         (202201, 1, 1, (status.CONFERRED,), "AS"),
         (202201, 2, 2, (status.CONFERRED,), "IS"),
         (202301, 2, 2, (status.CONFERRED,), "GR"),
@@ -291,27 +336,23 @@ def test_level(spark, level, before, after, rank, events_here, entry_before, ent
         (202201, 1, 2, (status.CONFERRED,), "GR"),
         (None, 2, 2, (status.LAST,), None),
         (None, 1, 2, (status.WITHDRAWN, status.EXIT), "AS"),
-    ],
-)
-def test_status(spark, term, row, count, events_here, expected):
-    names = (status.START, status.LAST, status.ENTRY, status.EXIT, status.CONFERRED, status.WITHDRAWN)
-    has = {e: F.lit(e in events_here) for e in names}
-    assert one(spark, status.status_code(CFG, L(term), L(row), L(count), has)) == (expected,)
+    ]
+    has = has_events(status.START, status.LAST, status.ENTRY, status.EXIT, status.CONFERRED, status.WITHDRAWN)
+    code = status.status_code(CFG, F.col("term"), F.col("row"), F.col("count"), has)
+    check(spark, "term int, row int, count int, events array<string>", cases, code)
 
 
-@pytest.mark.parametrize(
-    "starts, own, before, expected",
-    [
+def test_type(spark):
+    cases = [
         (False, "3", "9", "C"),
         (True, "3", "9", "3"),
         (True, "3", "2", "A"),
         (False, "9", "3", "A"),
         (False, "9", None, "9"),
         (True, "2", None, "2"),
-    ],
-)
-def test_type(spark, starts, own, before, expected):
-    assert one(spark, status.student_type(F.lit(starts), F.lit(own), L(before, "string"))) == (expected,)
+    ]
+    code = status.student_type(F.col("starts"), F.col("own"), F.col("before"))
+    check(spark, "starts boolean, own string, before string", cases, code)
 
 
 def test_degree_levels_in_rule_order(spark):
@@ -402,44 +443,25 @@ def test_slots_take_the_first_entries_in_order(spark):
     assert [tuple(r) for r in got] == [(1, "a", "b"), (2, None, None), (3, "z", None)]
 
 
-FULL_MAP = [
-    ("BAM1", "U", "BA", "BM1", None, "PM1"),
-    ("BAM4", "U", "BA", "BM4", "K4", "PM4"),
-    ("BSM2", "U", "BS", "BM2", "K2", "PM2"),
-]
-PLAIN_MAP = [("BA", "U", "BAX", "P-BA"), ("BS", "W", "BSX", "P-BS")]
-TWO_TERMS = [course(1, "2122", "FA"), course(1, "2122", "SP")]
+def test_second_slot_with_another_degree(mixed):
+    names = (
+        "degc_code_1 majr_code_1 program_1 degc_code_2 majr_code_2 majr_code_conc_2 program_2 majr_code_1_2".split()
+    )
+    plain, mapped = ([of(mixed, student)[0][n] for n in names] for student in (7, 17))
+    assert plain == ["BAX", "M1", "P-BA", "BSX", "M2", None, "P-BS", None]
+    assert mapped == ["BA", "BM1", "PM1", "BS", "BM2", "K2", "PM2", None]
 
 
-@pytest.mark.parametrize("active", [False, True])
-def test_second_slot_with_another_degree(spark, active):
-    cfg = Config(active_year="2122") if active else CFG
-    rows = converted(
-        spark, cfg, courses=TWO_TERMS, degrees=[degree(1, D(2021, 9, 1), major_2="M2")], code_map=FULL_MAP, degree_map=PLAIN_MAP
-    )
-    r = rows[0]
-    got = (r.degc_code_1, r.majr_code_1, r.program_1, r.degc_code_2, r.majr_code_2, r.majr_code_conc_2, r.program_2)
-    if active:
-        assert got == ("BA", "BM1", "PM1", "BS", "BM2", "K2", "PM2")
-    else:
-        assert got == ("BAX", "M1", "P-BA", "BSX", "M2", None, "P-BS")
-    assert r.majr_code_1_2 is None
-
-
-@pytest.mark.parametrize("active", [False, True])
-def test_second_slot_with_the_same_degree(spark, active):
-    cfg = Config(active_year="2122") if active else CFG
-    rows = converted(
-        spark, cfg, courses=TWO_TERMS, degrees=[degree(1, D(2021, 9, 1), major_2="M4")], code_map=FULL_MAP, degree_map=PLAIN_MAP
-    )
-    r = rows[0]
-    assert (r.coll_code_2, r.degc_code_2, r.majr_code_2) == (None, None, None)
+def test_second_slot_with_the_same_degree(mixed):
+    names = "coll_code_2 degc_code_2 majr_code_2 majr_code_1_2 program_2".split()
+    plain, mapped = ([of(mixed, student)[0][n] for n in names] for student in (8, 18))
     # Without an active course the second program is set even so.
-    assert (r.majr_code_1_2, r.program_2) == (("BM4", None) if active else ("M4", "P-BA"))
+    assert plain == [None, None, None, "M4", "P-BA"]
+    assert mapped == [None, None, None, "BM4", None]
 
 
-def test_first_row_defaults_and_certificates(spark):
-    rows = converted(spark, courses=TWO_TERMS, degrees=[degree(1, D(2021, 9, 1), degr="V", major="M3")])
+def test_first_row_defaults_and_certificates(mixed):
+    rows = of(mixed, 9)
     first = rows[0]
     assert (first.coll_code_1, first.degc_code_1, first.majr_code_1, first.program_1) == ("U", "NOND", "ATLG", "NOND")
     assert column(rows, "coll_code_1") == ["U", "U"]
@@ -447,7 +469,7 @@ def test_first_row_defaults_and_certificates(spark):
 
 def test_repeated_map_keys_fail(spark):
     with pytest.raises(ValueError, match="map_code"):
-        converted(spark, courses=TWO_TERMS, code_map=[*FULL_MAP, FULL_MAP[0]])
+        converted(spark, courses=two_terms(1), cohort=[(1,)], code_map=[*FULL_MAP, FULL_MAP[0]])
 
 
 # ---- output -------------------------------------------------------------------------------------
@@ -457,6 +479,8 @@ def test_one_row_students_get_a_follow_up_in_the_next_seen_term(spark):
     rows = converted(
         spark,
         courses=[course(1, "2122", "FA"), course(2, "2122", "SU"), course(3, "2122", "SP"), course(4, "2223", "SP")],
+        cohort=[(i,) for i in range(1, 5)],
+        external_ids=[(str(i), i) for i in range(1, 5)],
     )
     got = [(r.pidm, r.term_code_eff, r.sort, r.stst_code) for r in rows]
     assert got == [
@@ -471,33 +495,18 @@ def test_one_row_students_get_a_follow_up_in_the_next_seen_term(spark):
     ]
 
 
-def test_layout(spark):
-    rows = converted(spark, courses=TWO_TERMS, external_ids=[("1", 7), ("x", 8)])
-    r = rows[0].asDict()
+def test_layout(spark, mixed):
+    r = of(mixed, 6)[0].asDict()
     assert len(r) == 115 and list(r)[0] == "pidm" and list(r)[-1] == "sort"
-    assert (r["pidm"], r["camp_code"], r["resd_code"], r["admt_code"]) == (7, "SAC", "C", "ST")
+    assert (r["camp_code"], r["resd_code"], r["admt_code"]) == ("SAC", "C", "ST")
     assert sum(v == "" for v in r.values()) == 91
-    named = converted(spark, Config(column_prefix="p_"), courses=TWO_TERMS)[0].asDict()
-    assert list(named)[0] == "p_pidm" and list(named)[-1] == "sort"
-
+    named = output.project_layout(spark.range(1), ("a", "b", "sort"), {"b": F.lit("x"), "sort": F.lit(1)}, "p_")
+    assert named.collect() == [Row(p_a="", p_b="x", sort=1)]
 
-def test_rows_without_external_id_sort_first(spark):
-    rows = converted(spark, courses=[course(i, "2122", "FA") for i in (1, 2)], external_ids=[("1", 5)])
-    assert column(rows, "pidm") == [None, None, 5, 5]
 
-
-def test_candidacy_rows_multiply_and_only_double_dummies_drop(spark):
-    rows = converted(
-        spark,
-        courses=[course(1, "2122", "FA", None), course(1, "2122", "SP", None), course(1, "2122", "SU", 3)],
-        candidacy=[
-            (1, "2122", "FA", "P", "1"),
-            (1, "2122", "FA", "F", "1"),
-            (1, "ZZZZ", "ZZ", "F", "1"),
-            (1, "ZZZZ", "FA", "F", "1"),
-        ],
-    )
-    assert column(rows, "term_code_eff") == [202108, 202108, 202205]
+def test_rows_without_external_id_sort_first(mixed):
+    ids = column(mixed, "pidm")
+    assert ids[:2] == [None, None] and None not in ids[2:]
 
 
 def test_next_in_domain(spark):
