@@ -386,8 +386,10 @@ def output_rows(history: DataFrame, external_ids: DataFrame, cfg: Config, sort:
     following = lookup_side(next_in_domain(history, "term_code", "next_term"))
     rows = emit_follow_up(history.join(following, "term_code", "left"), F.col("row_count") == 1, "sort")
 
-    ids = external_ids.select(F.expr("try_cast(external_id as bigint)").alias("id_num"), "pidm")
-    rows = rows.join(ids.where("id_num is not null"), "id_num", "left")
+    # An id listed several times repeats its rows: by weight, so that a very frequent one stays small.
+    number = F.expr("try_cast(external_id as bigint)").alias("id_num")
+    ids = external_ids.groupBy(number, "pidm").agg(F.count("*").alias("times")).where("id_num is not null")
+    rows = rows.join(ids, "id_num", "left").withColumn("weight", F.col("weight") * F.coalesce("times", F.lit(1)))
 
     repeat = F.col("sort") == 2
     term = F.when(repeat, F.coalesce("next_term", "term_code")).otherwise(F.col("term_code"))

@@ -113,5 +113,7 @@ def random_rows(seed: int, students: int = 60) -> dict[str, list[tuple]]:
         "cohort": [(s,) for s in range(students) if s % 7],
         "code_map": full,
         "degree_map": plain,
-        "external_ids": [(str(s), 1000 + s) for s in range(students) if s % 5],
+        "external_ids": [(str(s), 1000 + s) for s in range(students) if s % 5]
+        + [("x", 1), (None, 2)]
+        + [(str(s), 1000 + s + s % 2) for s in range(0, students, 6)] * 3,
     }
