@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import bpe, simhash, unigram
 from .shared import hex64
 
 
@@ -15,12 +16,30 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, directory: str) -> DataFrame:
+    vocabulary = unigram.read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return unigram.count_tokens(table(spark, directory, "documents"), vocabulary, keep=["doc_id"])
+
+
+def op3_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = bpe.encode(table(spark, directory, "documents"), path, public_tokenizers.PATTERN, keep=["doc_id"])
+    return bpe.decode(ids, path).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_simhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
     classes = simhash.near_classes(table(spark, directory, "documents"))
     return classes.select(F.col("id").alias("doc_id"), hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op3_byte_bpe": op3_byte_bpe,
     "op7_simhash_dedup": op7_simhash_dedup,
 }
 

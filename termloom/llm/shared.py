@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,3 +68,19 @@ def components(edges: DataFrame, label: str) -> DataFrame:
 def hex64(value: Column) -> Column:
     """16 lower-case hex digits of a long."""
     return F.lower(F.lpad(F.hex(value), 16, "0"))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {x.lower() for x in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def kept_by_worker(kind: str, key: str, make: Callable[[], Any]) -> Any:
+    """An object that a Python worker keeps from task to task; a new key replaces the old object of this kind."""
+    state = sys.modules.setdefault("termloom_worker_state", types.ModuleType("termloom_worker_state")).__dict__
+    if state.get(kind, (None,))[0] != key:
+        state[kind] = (key, make())
+    return state[kind][1]
