@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, unigram
-from .shared import hex64
+from . import bpe, quality, simhash, unigram
+from .shared import hex64, stored
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -32,6 +32,17 @@ def op3_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op6_quality_classifier(spark: SparkSession, directory: str) -> DataFrame:
+    found = stored(quality.with_statistics(table(spark, directory, "documents")), "statistics")
+    model = quality.learn(found, table(spark, directory, "labels"))
+    return quality.score(found, model).select(
+        F.col("id").alias("doc_id"),
+        quality.held_out("id", 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op7_simhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
     classes = simhash.near_classes(table(spark, directory, "documents"))
     return classes.select(F.col("id").alias("doc_id"), hex64(F.col("fp")).alias("fingerprint"), "component_id")
@@ -40,6 +51,7 @@ def op7_simhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_simhash_dedup": op7_simhash_dedup,
 }
 
