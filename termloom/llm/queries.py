@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, simhash, unigram
+from . import bpe, decontaminate, quality, simhash, unigram
 from .shared import hex64, stored
 
 
@@ -32,6 +32,10 @@ def op3_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, directory: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+
+
 def op6_quality_classifier(spark: SparkSession, directory: str) -> DataFrame:
     found = stored(quality.with_statistics(table(spark, directory, "documents")), "statistics")
     model = quality.learn(found, table(spark, directory, "labels"))
@@ -51,6 +55,7 @@ def op7_simhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_decontamination": op5_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_simhash_dedup": op7_simhash_dedup,
 }

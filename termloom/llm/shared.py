@@ -84,3 +84,13 @@ def kept_by_worker(kind: str, key: str, make: Callable[[], Any]) -> Any:
     if state.get(kind, (None,))[0] != key:
         state[kind] = (key, make())
     return state[kind][1]
+
+
+#: Bytes of a table, as rows times the width of its schema, up to which it is sent to all executors.
+BROADCAST_BYTES = 32 << 20
+
+
+def small_or_merged(df: DataFrame) -> DataFrame:
+    """A table counted before a join: broadcast if it is small, else held to a shuffled join with the same result."""
+    width = sum({"string": 64, "array": 256}.get(f.dataType.typeName(), 16) for f in df.schema.fields)
+    return F.broadcast(df) if df.count() * width <= BROADCAST_BYTES else df.hint("merge")
