@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, simhash, unigram
+from . import bpe, decontaminate, pii, quality, simhash, unigram
 from .shared import hex64, stored
 
 
@@ -21,6 +21,16 @@ def op1_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     return unigram.count_tokens(table(spark, directory, "documents"), vocabulary, keep=["doc_id"])
 
 
+def op2_pii(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    marked = pii.with_spans(docs, pii.fit(docs))
+    kinds = F.transform("base", lambda x: x["kind"])
+    counts = [F.size(F.array_remove(kinds, other)) for other in range(len(pii.KINDS))]
+    counts = [(F.size("base") - n).cast("long").alias(f"n_{name}") for n, name in zip(counts, pii.KINDS, strict=True)]
+    spans = pii.as_text(F.col("spans")).alias("spans")
+    return marked.select(F.col("row.doc_id").alias("doc_id"), *counts, F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"), spans)
+
+
 def op3_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = bpe.encode(table(spark, directory, "documents"), path, public_tokenizers.PATTERN, keep=["doc_id"])
@@ -54,6 +64,7 @@ def op7_simhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_pii": op2_pii,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
