@@ -248,6 +248,12 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text_column: str = "t
     return docs.select(*names, F.col(text_column).alias(text)).mapInArrow(work, schema)
 
 
+def with_ids(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
+    """`encode`, with the number of ids in `n_tokens`; columns of these two names are replaced."""
+    out = encode(docs, vocabulary, pattern)
+    return out.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+
+
 def decode(df: DataFrame, vocabulary: str, ids_column: str = "ids", out_column: str = "decoded") -> DataFrame:
     """Add the bytes that the ids stand for; a null gives an empty value. Other columns stay, as with `encode`."""
     ranks = read_ranks(vocabulary)

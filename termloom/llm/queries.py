@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, pii, quality, simhash, unigram
+from . import bpe, decontaminate, langid, pii, quality, simhash, unigram
 from .shared import hex64, stored
 
 
@@ -42,6 +42,12 @@ def op3_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents")
+    found = langid.label(docs, langid.fit(docs), keep=["doc_id"])
+    return found.select("doc_id", quality.held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op5_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
 
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_simhash_dedup": op7_simhash_dedup,
