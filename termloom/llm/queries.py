@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, pii, quality, simhash, unigram
+from . import bpe, decontaminate, langid, neighbours, pii, quality, simhash, unigram
 from .shared import hex64, stored
 
 
@@ -68,6 +68,10 @@ def op7_simhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return classes.select(F.col("id").alias("doc_id"), hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op10_nearest_neighbours(spark: SparkSession, directory: str) -> DataFrame:
+    return neighbours.nearest(table(spark, directory, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
