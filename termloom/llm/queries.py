@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, neighbours, pii, quality, simhash, unigram
+from . import bpe, decontaminate, html, langid, neighbours, pii, quality, simhash, unigram
 from .shared import hex64, stored
 
 
@@ -68,6 +68,12 @@ def op7_simhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return classes.select(F.col("id").alias("doc_id"), hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_html_extraction(spark: SparkSession, directory: str) -> DataFrame:
+    pages = table(spark, directory, "pages")
+    texts = html.extract(pages, html.fit(pages), keep=["page_id", "url"])
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_nearest_neighbours(spark: SparkSession, directory: str) -> DataFrame:
     return neighbours.nearest(table(spark, directory, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op9_html_extraction": op9_html_extraction,
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
