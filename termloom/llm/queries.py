@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html, langid, neighbours, pii, quality, simhash, unigram
+from . import bpe, decontaminate, html, langid, neighbours, pii, quality, simhash, suffixes, unigram
 from .shared import hex64, stored
 
 
@@ -68,6 +68,11 @@ def op7_simhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return classes.select(F.col("id").alias("doc_id"), hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    kept = suffixes.remove_repeats(table(spark, directory, "documents"))
+    return kept.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_html_extraction(spark: SparkSession, directory: str) -> DataFrame:
     pages = table(spark, directory, "pages")
     texts = html.extract(pages, html.fit(pages), keep=["page_id", "url"])
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
