@@ -113,6 +113,7 @@ def local_stars(values: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.nd
 
 
 def _joined(group: np.ndarray, side: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stars of all groups: pairs of the group's rows, or of its rows of both sides where it has two; fp: unsigned."""
     order = np.lexsort((fp, side, group))
     group, side, fp = group[order], side[order], fp[order]
     fresh = np.concatenate(([True], group[1:] != group[:-1]))
@@ -120,17 +121,15 @@ def _joined(group: np.ndarray, side: np.ndarray, fp: np.ndarray, radius: int) ->
     last = np.concatenate((first[1:], [len(group)]))
     middle = first + np.add.reduceat((side == 0).astype(np.int64), first)
     alone = side[last - 1] == 0  # one chunk with itself
-    return trie_pairs(fp, (first, np.where(alone, last, middle), np.where(alone, first, middle), last), radius)
+    pairs = trie_pairs(fp, (first, np.where(alone, last, middle), np.where(alone, first, middle), last), radius)
+    return local_stars(fp, *pairs)
 
 
 def _links_stage(radius: int):
     def solve(parts: list[pa.Table]) -> pa.RecordBatch:
         table = pa.concat_tables(parts)
         group, side, fp = (table.column(k).to_numpy() for k in ("key", "side", "fp"))
-        order = np.lexsort((fp, side, group))
-        values = fp[order].view(np.uint64)
-        i, j = _joined(group[order], side[order], values, radius)
-        u, v = local_stars(values, i, j)
+        u, v = _joined(group, side, fp.view(np.uint64), radius)
         return pa.record_batch([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
