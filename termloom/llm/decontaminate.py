@@ -30,7 +30,7 @@ def words_of(text: Column) -> Column:
     """Words of a text; a null or wordless text has none. Separators at the ends leave empty strings, which go."""
     found = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
     found = F.when(F.get(found, F.lit(0)) == "", F.slice(found, 2, F.greatest(F.size(found) - 1, F.lit(0)))).otherwise(found)
-    return F.when(F.element_at(F.array_append(found, F.lit("")), -2) == "", F.slice(found, 1, F.size(found) - 1)).otherwise(found)
+    return F.when(F.try_element_at(found, F.lit(-1)) == "", F.slice(found, 1, F.size(found) - 1)).otherwise(found)
 
 
 def text_key() -> list[Column]:
