@@ -6,12 +6,46 @@ side uses flags, one aggregation and carried values, so that the two check each
 
 from __future__ import annotations
 
-from termloom.operators.events import CURRICULUM, MILESTONES
-from termloom.plans.layout import LAYOUT
-from termloom.plans.student_history import FILLED
 from termloom.sources import star
 from termloom.sources.star import STAR_CONFIG as CFG
 
+# Fixed values of the input and the target, stated here so that a wrong one in the package shows.
+LAYOUT = tuple(
+    """
+    pidm term_code_eff stst_code levl_code styp_code term_code_matric term_code_admit exp_grad_date camp_code
+    full_part_ind sess_code resd_code coll_code_1 degc_code_1 majr_code_1 majr_code_minr_1 majr_code_minr_1_2
+    majr_code_conc_1 majr_code_conc_1_2 majr_code_conc_1_3 coll_code_2 degc_code_2 majr_code_2 majr_code_minr_2
+    majr_code_minr_2_2 majr_code_conc_2 majr_code_conc_2_2 majr_code_conc_2_3 orsn_code prac_code advr_pidm
+    grad_credit_appr_ind capl_code leav_code leav_from_date leav_to_date astd_code term_code_astd rate_code
+    activity_date majr_code_1_2 majr_code_2_2 edlv_code incm_code admt_code emex_code aprn_code trcn_code
+    gain_code voed_code blck_code term_code_grad acyr_code dept_code site_code dept_code_2 egol_code
+    degc_code_dual levl_code_dual dept_code_dual coll_code_dual majr_code_dual bskl_code prim_roll_ind program_1
+    term_code_ctlg_1 dept_code_1_2 majr_code_conc_121 majr_code_conc_122 majr_code_conc_123 secd_roll_ind
+    term_code_admit_2 admt_code_2 program_2 term_code_ctlg_2 levl_code_2 camp_code_2 dept_code_2_2
+    majr_code_conc_221 majr_code_conc_222 majr_code_conc_223 curr_rule_1 cmjr_rule_1_1 ccon_rule_11_1
+    ccon_rule_11_2 ccon_rule_11_3 cmjr_rule_1_2 ccon_rule_12_1 ccon_rule_12_2 ccon_rule_12_3 cmnr_rule_1_1
+    cmnr_rule_1_2 curr_rule_2 cmjr_rule_2_1 ccon_rule_21_1 ccon_rule_21_2 ccon_rule_21_3 cmjr_rule_2_2
+    ccon_rule_22_1 ccon_rule_22_2 ccon_rule_22_3 cmnr_rule_2_1 cmnr_rule_2_2 prev_code term_code_prev cast_code
+    term_code_cast data_origin user_id scpc_code surrogate_id version vpdi_code guid sort
+    """.split()
+)
+FILLED = tuple(
+    """
+    coll_code_1 degc_code_1 majr_code_1 majr_code_conc_1 coll_code_2 degc_code_2 majr_code_2 program_1 program_2
+    """.split()
+)
+CURRICULUM = tuple(
+    """
+    major_1 degr_cde div_cde major_2 concentration_1
+    """.split()
+)
+MILESTONES = {
+    "entry_dte": "entry date",
+    "exit_dte": "exit date",
+    "dte_degr_conferred": "degree conferred date",
+    "withdrawal_dte": "withdrawal date",
+}
+
 
 def _list(columns: dict[str, str]) -> str:
     return ", ".join(f"{text} AS {name}" for name, text in columns.items())
@@ -46,16 +80,16 @@ INPUTS = {
         f"JOIN (SELECT {_list(star.COURSE_ORDER)} FROM orders) ON l_orderkey = o_orderkey"
     ),
     "candidacy": (
-        f"SELECT {_list(star.CANDIDACY_GROUP)}, {_list(star.CANDIDACY)} FROM orders "
+        f"SELECT {_list({k: v for k, v in star.CANDIDACY_GROUP.items() if k != 'half'})}, {_list(star.CANDIDACY)} FROM orders "
         f"GROUP BY {', '.join(star.CANDIDACY_GROUP.values())}"
     ),
     "degrees": (
         f"SELECT {_list(star.DEGREES)} FROM (SELECT {star.ACCOUNT} AS id_num, o_orderpriority, {_list(star.RECORD)} "
         f"FROM orders GROUP BY {star.ACCOUNT}, o_orderpriority)"
     ),
-    "majors": f"SELECT DISTINCT {_list(star.MAJORS)} FROM part",
+    "majors": f"SELECT {_list(star.MAJORS)} FROM (SELECT DISTINCT p_size, {star.MAJOR_TWIN} AS twin FROM part)",
     "cohort": f"SELECT {_list(star.ACCOUNTS)} FROM customer, {_DIGITS} WHERE {star.COHORT_ROWS}",
-    "code_map": f"SELECT {_list(star.CODE_MAP)} FROM majors, {_CONCS}",
+    "code_map": f"SELECT {_list(star.CODE_MAP)} FROM (SELECT DISTINCT * FROM majors), {_CONCS}",
     "degree_map": (
         f"SELECT {_list(star.DEGREE_MAP)} FROM (SELECT DISTINCT degr_cde FROM majors) WHERE {star.DEGREE_MAP_ROWS}"
     ),

@@ -12,10 +12,8 @@ from termloom.functions import status
 from termloom.functions.terms import shift_month, term_code
 from termloom.operators import calendar as cal
 from termloom.operators import collapse, curriculum, events, history, output
-from termloom.operators.lookup import keep_keys, override_code
+from termloom.operators.lookup import keep_keys, lookup_equals, override_code
 from termloom.plans import student_history as plan
-from termloom.plans.checkpoints import checkpointed
-from termloom.plans.layout import LAYOUT
 from termloom.plans.student_history import student_term_history
 from termloom.sources import Sources
 from termloom.sources.star import ACCOUNT, STAR_CONFIG, read_table, star_sources
@@ -31,7 +29,7 @@ class Relations:
         self.spark, self.directory = spark, directory
         self.cfg = STAR_CONFIG
         self.sources: Sources = star_sources(spark, directory)
-        self.calendar = cal.term_calendar(self.sources.year_terms, self.cfg).persist()
+        self.calendar = cal.term_calendar(self.sources.year_terms, self.cfg)
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.directory, name)
@@ -50,22 +48,25 @@ class Relations:
         return events.event_timeline(events.milestone_events(self.sources.degrees), self.bounds())
 
     def placed(self) -> DataFrame:
-        return cal.interval_lookup(self.timeline(), cal.term_days(self.calendar), "sig_date")
+        return cal.interval_lookup(self.timeline(), cal.term_months(self.calendar), "sig_date")
 
     def event_majors(self) -> DataFrame:
         return curriculum.map_majors(self.placed(), self.majors())
 
     def event_degrees(self) -> DataFrame:
-        level = status.degree_level(self.cfg).alias("degree_level")
-        return self.placed().select(*KEYS, F.trim("degr_cde").alias("degr_cde"), level).distinct()
+        return curriculum.event_degrees(self.placed(), self.cfg)
+
+    def cohort_events(self) -> DataFrame:
+        """Events of the cohort; other students go before anything is collapsed."""
+        return keep_keys(self.placed(), self.sources.cohort, "id_num")
 
     def term_events(self) -> DataFrame:
         lists = {"sig_desc": "agg_sig_desc", "reason_code": "agg_reason_code"}
-        return keep_keys(collapse.collapse(self.placed(), KEYS, lists), self.sources.cohort, "id_num")
+        return collapse.collapse(self.cohort_events(), KEYS, lists)
 
     def event_terms(self) -> DataFrame:
-        """Students and terms with an event. Reduced first: the cohort may be too large to broadcast."""
-        return keep_keys(self.placed().select(*KEYS).distinct(), self.sources.cohort, "id_num")
+        """Students and terms with an event."""
+        return self.cohort_events().select(*KEYS).distinct()
 
     def term_majors(self) -> DataFrame:
         return curriculum.term_majors(self.event_majors())
@@ -76,14 +77,18 @@ class Relations:
     def facts(self) -> DataFrame:
         return plan.term_facts(self.sources, self.cfg)
 
-    def derived(self) -> DataFrame:
+    def pieces(self) -> DataFrame:
+        """The rows as the plan carries them: a piece may stand for many equal rows."""
         return plan.derived_codes(self.facts(), self.cfg)
 
+    def derived(self) -> DataFrame:
+        return plan.written_out(self.pieces())
+
     def mapped(self) -> DataFrame:
-        return plan.mapped_rows(self.derived(), self.sources, self.cfg)
+        return plan.written_out(plan.mapped_rows(self.pieces(), self.sources, self.cfg))
 
     def history(self) -> DataFrame:
-        return plan.history_rows(self.sources, self.cfg)
+        return plan.written_out(plan.history_rows(self.sources, self.cfg))
 
     def user_days(self) -> DataFrame:
         bought = F.when(F.col("event_type") == "purchase", F.col("value"))
@@ -158,8 +163,7 @@ def cohort_semi(r: Relations) -> DataFrame:
 
 def first_term_flag(r: Relations) -> DataFrame:
     first = r.bounds().select("id_num", term_code("first_term_date").alias("first"))
-    same = F.when(F.col("first") == F.col("term_code"), F.lit("Y")).otherwise(F.lit("N"))
-    return r.event_terms().join(first, "id_num", "left").select(*KEYS, same.alias("is_first_term"))
+    return lookup_equals(r.event_terms(), first, "id_num", "first", "term_code", "is_first_term")
 
 
 def derived(*columns: str) -> Callable[[Relations], DataFrame]:
@@ -173,9 +177,9 @@ def history_groups(r: Relations) -> DataFrame:
 
 
 def group_first_values(r: Relations) -> DataFrame:
-    rows = r.derived().select(*KEYS, "hist_group", "start_term", "ft_pt_ind")
+    rows = r.derived().select(*KEYS, "row_num", "hist_group", "start_term", "ft_pt_ind")
     first = {"start_term": "term_code_admit", "ft_pt_ind": "full_part_ind"}
-    return history.first_in_group(rows, ("id_num", "hist_group"), "term_code", first).drop(*first)
+    return history.first_in_group(rows, ("id_num", "hist_group"), "row_num", first).drop("row_num", *first)
 
 
 def degree_split(r: Relations) -> DataFrame:
@@ -184,37 +188,13 @@ def degree_split(r: Relations) -> DataFrame:
 
 
 def layout(r: Relations) -> DataFrame:
-    ids = r.sources.external_ids.select(F.col("external_id").cast("bigint").alias("id_num"), "pidm")
-    rows = r.history().join(ids, "id_num", "left")
-    admit = shift_month("term_code_admit", r.cfg.month_shift)
-    values = {c: F.col(c) for c in (*CODES, "pidm", "stst_code", "levl_code", "styp_code", "full_part_ind")}
-    values |= {
-        "term_code_eff": shift_month("term_code", r.cfg.month_shift),
-        "term_code_admit": admit,
-        "term_code_ctlg_1": admit,
-        "term_code_ctlg_2": F.when(F.col("program_2").isNotNull(), admit),
-        "camp_code": F.lit(r.cfg.campus),
-        "resd_code": F.lit(r.cfg.residence),
-        "admt_code": F.lit(r.cfg.admit_type),
-        "sort": F.lit(1),
-    }
-    return output.project_layout(rows, LAYOUT, values, r.cfg.column_prefix)
+    """The plan's own output rows, without the follow-up rows."""
+    rows = plan.output_rows(plan.history_rows(r.sources, r.cfg), r.sources.external_ids, r.cfg, sort=False)
+    return rows.where(F.col("sort") == 1)
 
 
 def follow_up_rows(r: Relations) -> DataFrame:
-    # Read twice: once for the terms that occur, once for the rows.
-    rows = checkpointed(r.derived().select(*KEYS, "stst_code", "row_count"))
-    following = cal.lookup_side(output.next_in_domain(rows, "term_code", "next_term"))
-    both = output.emit_follow_up(rows.join(following, "term_code", "left"), F.col("row_count") == 1, "sort")
-    repeat = F.col("sort") == 2
-    term = F.when(repeat, F.coalesce("next_term", "term_code")).otherwise(F.col("term_code"))
-    later = F.when(F.col("term_code") < r.cfg.cutoff_term, F.lit("IS")).otherwise(F.lit("AS"))
-    return both.select(
-        "id_num",
-        shift_month(term, r.cfg.month_shift).alias("term_code_eff"),
-        F.when(repeat, later).otherwise(F.col("stst_code")).alias("stst_code"),
-        "sort",
-    )
+    return plan.follow_ups(r.derived(), r.cfg).select("id_num", "term_code_eff", "stst_code", "sort")
 
 
 def daily_fill_forward(r: Relations) -> DataFrame:
@@ -236,7 +216,7 @@ def order_line_slots(r: Relations) -> DataFrame:
 
 def shipment_terms(r: Relations) -> DataFrame:
     lines = r.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    return cal.interval_lookup(lines, cal.term_days(r.calendar), "l_shipdate")
+    return cal.interval_lookup(lines, cal.term_months(r.calendar), "l_shipdate")
 
 
 def single_quarter_follow_up(r: Relations) -> DataFrame:

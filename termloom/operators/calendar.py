@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.config import Config
@@ -56,22 +56,36 @@ def attach_term(df: DataFrame, codes: DataFrame) -> DataFrame:
     return df.join(codes, ["yr_cde", "trm_cde"], "left")
 
 
-def term_days(calendar: DataFrame, begin: str = "trm_begin_dte", end: str = "extend_trm_end_dte") -> DataFrame:
-    """Lookup with one row per calendar day of every interval: day number and term code."""
+def month_number(date: str | Column) -> Column:
+    return F.year(date) * 12 + F.month(date)
+
+
+def term_months(calendar: DataFrame, begin: str = "trm_begin_dte", end: str = "extend_trm_end_dte") -> DataFrame:
+    """Lookup with one row per calendar month that an interval touches: month, both bounds, term code."""
     closed = calendar.where(F.col(end) >= F.col(begin))
     return lookup_side(
         closed.select(
-            F.explode(F.sequence(F.unix_date(begin), F.unix_date(end))).alias("day"),
+            F.explode(F.sequence(month_number(begin), month_number(end))).alias("month"),
+            F.col(begin).alias("first_day"),
+            F.col(end).alias("last_day"),
             term_code(begin).alias("term_code"),
         )
     )
 
 
-def interval_lookup(df: DataFrame, days: DataFrame, on: str, name: str = "term_code") -> DataFrame:
-    """Left join each row to the term its date falls into; ``days`` comes from :func:`term_days`.
+def interval_lookup(df: DataFrame, months: DataFrame, on: str, name: str = "term_code") -> DataFrame:
+    """Left join each row to the term its date falls into; ``months`` comes from :func:`term_months`.
 
-    An equi-join on the day: one hash probe per row, whatever the number of terms, where a range
-    condition would compare every row with every term. A time of day is ignored.
+    An equi-join on the month with the interval as a further condition: one hash probe per row that meets
+    the few terms of a month, whatever the number of terms. A time of day is ignored.
     """
-    side = days.select(F.col("day").alias("_day"), F.col("term_code").alias(name))
-    return df.withColumn("_day", F.unix_date(F.col(on).cast("date"))).join(side, "_day", "left").drop("_day")
+    side = months.select(
+        F.col("month").alias("_of_month"),
+        F.col("first_day").alias("_first_day"),
+        F.col("last_day").alias("_last_day"),
+        F.col("term_code").alias(name),
+    )
+    day = F.col("_day")
+    inside = (month_number(day) == F.col("_of_month")) & day.between(F.col("_first_day"), F.col("_last_day"))
+    dated = df.withColumn("_day", F.col(on).cast("date"))
+    return dated.join(side, inside, "left").drop("_day", "_of_month", "_first_day", "_last_day")

@@ -19,7 +19,9 @@ def collapse(
 
     ``lists`` and ``maxima`` map source column to output column. NULLs are skipped, '' is kept.
     Repeats are counted per value before anything is gathered, so a group with very many rows is
-    reduced on the map side and reaches its task as one row per different value.
+    reduced on the map side and reaches its task as one row per different value. The joined text still
+    has every repeat, so it grows with the rows of its key; where only the presence of a value matters,
+    use :func:`flag_any`, as the conversion does.
     """
     maxima = maxima or {}
     values = F.array(
@@ -30,9 +32,10 @@ def collapse(
         .groupBy(*keys, F.col("_item.name").alias("_name"), F.col("_item.value").alias("_value"))
         .agg(F.count("*").alias("_n"), *[F.max(column).alias(column) for column in maxima])
     )
-    run = f"concat(_value, repeat(concat('{separator}', _value), cast(_n - 1 as int)))"
+    quoted = separator.replace("\\", "\\\\").replace("'", "\\'")
+    run = f"concat(_value, repeat(concat('{quoted}', _value), cast(_n - 1 as int)))"
     joined = [
-        F.expr(f"listagg(case when _name = '{out}' then {run} end, '{separator}') within group (order by _value)")
+        F.expr(f"listagg(case when _name = '{out}' then {run} end, '{quoted}') within group (order by _value)")
         .alias(out)
         for out in lists.values()
     ]

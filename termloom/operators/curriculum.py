@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.config import Config
+from termloom.functions import status
 from termloom.operators.lookup import lookup_side
 
 SLOT_KEYS = ("id_num", "term_code")
@@ -17,7 +18,7 @@ SLOT_ORDER = ("mmd_degr_cde", "major_1", "degree_history_degr_cde", "concentrati
 
 def map_majors(events: DataFrame, majors: DataFrame) -> DataFrame:
     """Distinct majors of each term with the degree each major leads to, codes trimmed."""
-    side = lookup_side(majors.select("major_cde", "degr_cde"))
+    side = lookup_side(majors.select("major_cde", "degr_cde").distinct())
     first = side.select(F.col("major_cde").alias("major_1"), F.col("degr_cde").alias("mmd_degr_cde"))
     second = side.select(F.col("major_cde").alias("major_2"), F.col("degr_cde").alias("mmd2_degr_cde"))
     return (
@@ -36,6 +37,12 @@ def map_majors(events: DataFrame, majors: DataFrame) -> DataFrame:
     )
 
 
+def event_degrees(events: DataFrame, cfg: Config) -> DataFrame:
+    """Distinct degrees of each term with their levels."""
+    level = status.degree_level(cfg).alias("degree_level")
+    return events.select(*SLOT_KEYS, F.trim("degr_cde").alias("degr_cde"), level).distinct()
+
+
 def unpivot_slots(df: DataFrame, keep: Sequence[str], pairs: Sequence[tuple[str, str]], names: tuple[str, str]) -> DataFrame:
     """One distinct row per non-empty slot; each pair is (code column, companion column)."""
     items = F.array(*[F.struct(F.col(a).alias(names[0]), F.col(b).alias(names[1])) for a, b in pairs])

@@ -5,29 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 500_000
+# Bytes up to which a lookup is sent to every executor.
+MAX_BROADCAST_BYTES = 32 << 20
+TEXT_BYTES, VALUE_BYTES = 40, 16
 
 
-def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Whether a table really has at most ``max_rows`` (``MAX_BROADCAST_ROWS``) rows: counted, not estimated."""
-    bound = _bound(max_rows)
-    # One row over the bound is enough to know that a table is too large.
-    return df.limit(bound + 1).count() <= bound
+def row_bytes(df: DataFrame) -> int:
+    """What a row takes in memory, from its schema; codes are short texts."""
+    return sum(TEXT_BYTES if f.dataType.typeName() == "string" else VALUE_BYTES for f in df.schema.fields)
 
 
-def _bound(max_rows: int | None) -> int:
-    return MAX_BROADCAST_ROWS if max_rows is None else max_rows
+def fits(df: DataFrame, rows: int, max_bytes: int | None = None) -> bool:
+    return rows * row_bytes(df) <= (MAX_BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
-def lookup_side(df: DataFrame, unique: str | None = None, max_rows: int | None = None) -> DataFrame:
-    """Mark a lookup for broadcast if it is small; a small one is cached for its further uses.
+def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether a table really takes at most ``max_bytes`` (``MAX_BROADCAST_BYTES``): counted, not estimated."""
+    return fits(df, df.count(), max_bytes)
 
-    A larger table comes back without a hint and is joined by shuffle, where adaptive execution
-    splits hot keys. With ``unique``, fail if that column repeats a value: every matching row would
-    be multiplied.
+
+def lookup_side(df: DataFrame, unique: str | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Mark a lookup for broadcast if it is small, and for a merge join if it is not.
+
+    The second mark binds too: no estimate of Spark's can broadcast the table after all, and adaptive
+    execution splits hot keys of the merge join. With ``unique``, fail if that column repeats a value:
+    every matching row would be multiplied.
     """
-    small = rows_of_unique(df, unique) <= _bound(max_rows) if unique else is_small(df, max_rows)
-    return F.broadcast(df.persist()) if small else df
+    rows = rows_of_unique(df, unique) if unique else df.count()
+    return F.broadcast(df) if fits(df, rows, max_bytes) else df.hint("merge")
 
 
 def rows_of_unique(df: DataFrame, key: str) -> int:
@@ -51,3 +56,13 @@ def override_code(df: DataFrame, key: str, value: str, mapping: dict[str, str])
 def keep_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows whose key occurs in ``keys``; no row is multiplied."""
     return df.join(keys.select(on), on, "left_semi")
+
+
+def lookup_equals(df: DataFrame, lookup: DataFrame, key: str, value: str, compared: str, name: str) -> DataFrame:
+    """Add ``name``: 'Y' where the lookup's ``value`` for the row's ``key`` equals ``compared``, else 'N'.
+
+    A key that the lookup does not have gives 'N'. The lookup has one row per key.
+    """
+    side = lookup.select(key, F.col(value).alias("_looked_up"))
+    same = F.when(F.col("_looked_up") == F.col(compared), F.lit("Y")).otherwise(F.lit("N"))
+    return df.join(side, key, "left").withColumn(name, same).drop("_looked_up")

@@ -22,7 +22,7 @@ from termloom.config import Config
 from termloom.functions import courses as course_rules
 from termloom.functions import status
 from termloom.functions.terms import shift_month, term_code
-from termloom.operators.calendar import attach_term, interval_lookup, term_calendar, term_codes, term_days
+from termloom.operators.calendar import attach_term, interval_lookup, term_calendar, term_codes, term_months
 from termloom.operators.curriculum import (
     SLOT_KEYS,
     default_first_row,
@@ -114,10 +114,10 @@ def course_rows(courses: DataFrame, codes: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def dated_milestones(degrees: DataFrame, days: DataFrame) -> DataFrame:
+def dated_milestones(degrees: DataFrame, months: DataFrame) -> DataFrame:
     # Without the reasons, which no rule reads.
     milestones = unpivot_dates(degrees, MILESTONES, ("id_num", *CURRICULUM))
-    return interval_lookup(milestones.where(F.col("sig_date").isNotNull()), days, "sig_date")
+    return interval_lookup(milestones.where(F.col("sig_date").isNotNull()), months, "sig_date")
 
 
 def milestone_rows(milestones: DataFrame, cfg: Config) -> DataFrame:
@@ -162,7 +162,9 @@ def degree_slots(milestones: DataFrame, majors: DataFrame, cfg: Config) -> DataF
         (("major_1", "major_1"), ("major_2", "major_2")),
         ("major_cde", "raw"),
     ).drop("raw")
-    degree = lookup_side(override_code(majors, "major_cde", "degr_cde", dict(cfg.major_degree_overrides)))
+    # An override can make rows equal that were not; each would take a slot.
+    degree = override_code(majors.select("major_cde", "degr_cde"), "major_cde", "degr_cde", dict(cfg.major_degree_overrides))
+    degree = lookup_side(degree.distinct())
     known = entries.join(degree.withColumnRenamed("degr_cde", "mmd_degr_cde"), "major_cde", "left").select(
         *SLOT_KEYS, F.trim("major_cde").alias("major_1"), "mmd_degr_cde", "degree_history_degr_cde", "concentration_1"
     )
@@ -193,7 +195,7 @@ def collapsed_terms(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_enrolment_events(terms: DataFrame, days: DataFrame) -> DataFrame:
+def with_enrolment_events(terms: DataFrame, months: DataFrame) -> DataFrame:
     """Mark the terms of the first and last enrolment; keep the terms in which something happened.
 
     An enrolment date no term covers belongs to the student's row without a term, which is added
@@ -208,8 +210,8 @@ def with_enrolment_events(terms: DataFrame, days: DataFrame) -> DataFrame:
         F.max("last_on").over(student).alias("last_on"),
         F.row_number().over(by_term).alias("_row"),
     ).where(flag("has_attempted", "student_flags") & flag("in_cohort", "student_flags"))
-    bounds = interval_lookup(bounds, days, "first_on", "first_term")
-    bounds = interval_lookup(bounds, days, "last_on", "last_term")
+    bounds = interval_lookup(bounds, months, "first_on", "first_term")
+    bounds = interval_lookup(bounds, months, "last_on", "last_term")
 
     enrolled = flag("is_enrolled", "student_flags")
     no_term = F.col("first_term").isNull() | F.col("last_term").isNull()
@@ -274,6 +276,17 @@ def repeated_rows(facts: DataFrame, cfg: Config) -> DataFrame:
     return counted.select("*", F.posexplode(weights).alias("piece", "weight")).drop("copies")
 
 
+def written_out(rows: DataFrame) -> DataFrame:
+    """Every piece as the equal rows that it stands for; numbers that count rows go on from copy to copy."""
+    copies = rows.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("weight"))).alias("_copy"))
+    back = F.col("weight") - F.col("_copy")
+    if "row_num" in rows.columns:
+        copies = copies.withColumn("row_num", F.col("row_num") - back)
+    if "hist_group" in rows.columns:
+        copies = copies.withColumn("hist_group", F.when(F.col("starts"), F.col("hist_group") - back).otherwise(F.col("hist_group")))
+    return copies.withColumn("weight", F.lit(1).cast("long")).drop("_copy")
+
+
 def cohort_rows(cohort: DataFrame) -> DataFrame:
     """A mark per student to convert, which travels with the student's other rows instead of a join."""
     return cohort.select(
@@ -293,9 +306,9 @@ def within_small_cohort(sources: Sources) -> Sources:
 def term_facts(sources: Sources, cfg: Config) -> DataFrame:
     """Steps 1-3: the facts of every (student, term) in which an event falls, before any rule."""
     sources = within_small_cohort(sources)
-    calendar = term_calendar(sources.year_terms, cfg).persist()
-    codes, days = term_codes(calendar), term_days(calendar)
-    milestones = dated_milestones(sources.degrees, days)
+    calendar = term_calendar(sources.year_terms, cfg)
+    codes, months = term_codes(calendar), term_months(calendar)
+    milestones = dated_milestones(sources.degrees, months)
     rows = (
         course_rows(sources.courses, codes, cfg)
         .unionByName(milestone_rows(milestones, cfg), allowMissingColumns=True)
@@ -307,7 +320,7 @@ def term_facts(sources: Sources, cfg: Config) -> DataFrame:
         .join(degree_slots(milestones, sources.majors, cfg), [*SLOT_KEYS], "left")
         .join(declared_loads(sources.candidacy, codes, cfg), [*SLOT_KEYS], "left")
     )
-    return repeated_rows(with_enrolment_events(terms, days), cfg)
+    return repeated_rows(with_enrolment_events(terms, months), cfg)
 
 
 def derived_codes(facts: DataFrame, cfg: Config) -> DataFrame:
@@ -381,25 +394,34 @@ def history_rows(sources: Sources, cfg: Config) -> DataFrame:
     return fill_forward(mapped, "id_num", ROW_ORDER, FILLED, cfg.fill_depth)
 
 
-def output_rows(history: DataFrame, external_ids: DataFrame, cfg: Config, sort: bool = True) -> DataFrame:
-    """Follow-up rows of one-term students, external ids, copies, order and layout."""
+def follow_ups(history: DataFrame, cfg: Config) -> DataFrame:
+    """The rows (sort 1) and the follow-up rows of one-term students (sort 2), with the output's term and status."""
     following = lookup_side(next_in_domain(history, "term_code", "next_term"))
     rows = emit_follow_up(history.join(following, "term_code", "left"), F.col("row_count") == 1, "sort")
+    repeat = F.col("sort") == 2
+    term = F.when(repeat, F.coalesce("next_term", "term_code")).otherwise(F.col("term_code"))
+    later = F.when(F.col("term_code") < cfg.cutoff_term, F.lit("IS")).otherwise(F.lit("AS"))
+    return rows.withColumns(
+        {
+            "term_code_eff": shift_month(term, cfg.month_shift),
+            "stst_code": F.when(repeat, later).otherwise(F.col("stst_code")),
+        }
+    ).drop("next_term")
+
+
+def output_rows(history: DataFrame, external_ids: DataFrame, cfg: Config, sort: bool = True) -> DataFrame:
+    """Follow-up rows of one-term students, external ids, copies, order and layout."""
+    rows = follow_ups(history, cfg)
 
     # An id listed several times repeats its rows: by weight, so that a very frequent one stays small.
     number = F.expr("try_cast(external_id as bigint)").alias("id_num")
     ids = external_ids.groupBy(number, "pidm").agg(F.count("*").alias("times")).where("id_num is not null")
     rows = rows.join(ids, "id_num", "left").withColumn("weight", F.col("weight") * F.coalesce("times", F.lit(1)))
 
-    repeat = F.col("sort") == 2
-    term = F.when(repeat, F.coalesce("next_term", "term_code")).otherwise(F.col("term_code"))
-    later = F.when(F.col("term_code") < cfg.cutoff_term, F.lit("IS")).otherwise(F.lit("AS"))
     admit = shift_month("term_code_admit", cfg.month_shift)
     values = {
         "pidm": F.col("pidm"),
-        "term_code_eff": shift_month(term, cfg.month_shift),
-        "stst_code": F.when(repeat, later).otherwise(F.col("stst_code")),
-        **{c: F.col(c) for c in ("levl_code", "styp_code", "full_part_ind", *FILLED, "majr_code_conc_2")},
+        **{c: F.col(c) for c in ("term_code_eff", "stst_code", "levl_code", "styp_code", "full_part_ind", *FILLED, "majr_code_conc_2")},
         "majr_code_1_2": F.col("majr_code_1_2"),
         "term_code_admit": admit,
         "term_code_ctlg_1": admit,

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, DoubleType
 
 # Input columns and types per table; nothing is inferred.
-# At most 8 digits, so that Spark sums them as longs.
-HOURS = "decimal(8,2)"
+# A number of the source's own type: nothing is rounded.
+HOURS = "number"
 SCHEMAS: dict[str, dict[str, str]] = {
     "year_terms": {"yr_cde": "string", "trm_cde": "string", "trm_begin_dte": "date", "trm_end_dte": "date"},
     "courses": {
@@ -116,13 +117,24 @@ def conform(
 ) -> DataFrame:
     """Select a table's columns with their declared types and normalised codes."""
     columns = columns or {}
-    typed = [
-        F.col(columns.get(name, name)).cast(kind).alias(name)
-        for name, kind in SCHEMAS[table].items()
-    ]
+
+    def typed_column(name: str, kind: str) -> Column:
+        stored = columns.get(name, name)
+        if kind == HOURS:
+            kind = number_type(df.select(stored).schema[0].dataType)
+        return F.col(stored).cast(kind).alias(name)
+
+    typed = [typed_column(name, kind) for name, kind in SCHEMAS[table].items()]
     return normalize_codes(df.select(*typed), upper)
 
 
+def number_type(stored: DataType) -> str:
+    """The type in which a number is exact: decimals and doubles as they are, whole numbers as longs."""
+    if isinstance(stored, (DecimalType, DoubleType)):
+        return stored.simpleString()
+    return {"float": "double", "string": "decimal(38,10)"}.get(stored.typeName(), "bigint")
+
+
 def normalize_codes(df: DataFrame, upper: bool = False) -> DataFrame:
     """Cut trailing blanks (and upper-case on request), so that codes compare as plain text."""
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import decimal
 import random
 
 import duckdb
@@ -18,14 +19,14 @@ def tables(spark: SparkSession, rows: dict[str, list[tuple]]) -> tuple[Sources,
     con = duckdb.connect()
     frames = {}
     for name, schema in SCHEMAS.items():
-        ddl = ", ".join(f"{c} {kind}" for c, kind in schema.items())
+        ddl = ", ".join(f"{c} {kind}" for c, kind in schema.items()).replace("number", "decimal(9,3)")
         con.execute(f"CREATE TABLE {name} ({ddl})")
         given = rows.get(name, [])
         if given:
             marks = ", ".join("?" * len(schema))
             con.executemany(f"INSERT INTO {name} VALUES ({marks})", given)
-        plain = ddl.replace("decimal(8,2)", "int")
-        frames[name] = conform(spark.createDataFrame(given, plain), name)
+        exact = [tuple(decimal.Decimal(v) if v is not None and kind == "number" else v for v, kind in zip(row, schema.values(), strict=True)) for row in given]
+        frames[name] = conform(spark.createDataFrame(exact, ddl), name)
     return Sources(**frames), con
 
 
@@ -63,14 +64,14 @@ def random_rows(seed: int, students: int = 60) -> dict[str, list[tuple]]:
     courses, candidacy, records = [], [], []
     for student in range(students):
         for _ in range(r.choice([0, 1, 2, 6, 14])):
-            hours = r.choice([0, 1, 3, 4, 12, None])
+            hours = r.choice([0, 1, 3, 4, "3.999", "0.004", 12, None])
             courses.append(
                 (
                     student,
                     *term(),
                     r.choice(["A", "A", "A", "B", "T", "TU", None]),
                     r.choice(["H", "H", "H", "D", None]),
-                    r.choice([0, 3, 3, 3, None]),
+                    r.choice([0, 3, 3, "0.004", None]),
                     hours,
                     r.choice(["CR", "VO", "CE", "XX", None]),
                 )
@@ -109,7 +110,7 @@ def random_rows(seed: int, students: int = 60) -> dict[str, list[tuple]]:
         "courses": courses,
         "candidacy": candidacy,
         "degrees": records,
-        "majors": list(of.items()),
+        "majors": list(of.items()) * 2 + [("LAR", "BS"), ("LAR", "BA"), (majors[seed % 9], "BA")],
         "cohort": [(s,) for s in range(students) if s % 7],
         "code_map": full,
         "degree_map": plain,

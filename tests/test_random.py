@@ -64,7 +64,7 @@ def test_hot_student(spark):
 
 def test_without_any_broadcast(spark, monkeypatch):
     """Lookups too large to broadcast are joined by shuffle, with the same result."""
-    monkeypatch.setattr(lookup, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_BYTES", 0)
     sources, con = made_up.tables(spark, made_up.random_rows(21))
     threshold = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(threshold)

@@ -140,7 +140,7 @@ def test_extended_ends_close_gaps_and_last_stays_open(spark):
 
 def test_dates_outside_the_calendar_find_no_term(spark):
     sources, _ = made_up.tables(spark, {"year_terms": TERMS})
-    days = cal.term_days(cal.term_calendar(sources.year_terms, CFG))
+    days = cal.term_months(cal.term_calendar(sources.year_terms, CFG))
     dates = [D(2021, 8, 19), D(2021, 8, 20), D(2022, 1, 9), D(2022, 1, 10), D(2023, 5, 31), LAST_BEGIN, None]
     df = spark.createDataFrame([(i, d) for i, d in enumerate(dates)], "i int, d date")
     found = cal.interval_lookup(df, days, "d").orderBy("i").collect()
@@ -149,14 +149,14 @@ def test_dates_outside_the_calendar_find_no_term(spark):
 
 def test_last_term_end_can_be_given(spark):
     sources, _ = made_up.tables(spark, {"year_terms": TERMS})
-    days = cal.term_days(cal.term_calendar(sources.year_terms, Config(last_term_end=D(2023, 8, 1))))
+    days = cal.term_months(cal.term_calendar(sources.year_terms, Config(last_term_end=D(2023, 8, 1))))
     df = spark.createDataFrame([(D(2023, 8, 1),), (D(2023, 8, 2),)], "d date")
     assert column(cal.interval_lookup(df, days, "d").orderBy("d").collect(), "term_code") == [202306, None]
 
 
 def test_time_of_day_is_ignored(spark):
     sources, _ = made_up.tables(spark, {"year_terms": TERMS})
-    days = cal.term_days(cal.term_calendar(sources.year_terms, CFG))
+    days = cal.term_months(cal.term_calendar(sources.year_terms, CFG))
     df = spark.createDataFrame([(datetime.datetime(2022, 1, 9, 23, 59),)], "d timestamp_ntz")
     assert cal.interval_lookup(df, days, "d").first().term_code == 202108
 
@@ -168,7 +168,7 @@ def test_of_two_terms_with_one_begin_the_earlier_never_matches(spark):
     ends = {r.trm_cde: r.extend_trm_end_dte for r in calendar.collect()}
     assert ends["A1"] == D(2022, 1, 9) and ends["A2"] == D(2022, 5, 31)
     df = spark.createDataFrame([(D(2022, 1, 10),), (D(2022, 5, 31),)], "d date")
-    assert cal.interval_lookup(df, cal.term_days(calendar), "d").count() == 2
+    assert cal.interval_lookup(df, cal.term_months(calendar), "d").count() == 2
 
 
 def test_term_code_and_shift(spark):
@@ -191,7 +191,7 @@ def test_sources_read_with_other_names(spark):
     from termloom.sources import SCHEMAS
 
     def table(name):
-        ddl = ", ".join(f"{'M_' + c if name == 'STORED_MAP' else c} {k}" for c, k in SCHEMAS[stored.get(name, name)].items())
+        ddl = ", ".join(f"{'M_' + c if name == 'STORED_MAP' else c} {k.replace('number', 'double')}" for c, k in SCHEMAS[stored.get(name, name)].items())
         return spark.createDataFrame([], ddl)
 
     stored = {"STORED_MAP": "code_map"}
@@ -519,4 +519,63 @@ def test_lookup_above_the_bound_is_not_broadcast(spark):
     df = spark.range(10).withColumnRenamed("id", "k")
     plan_of = lambda side: spark.range(5).withColumnRenamed("id", "k").join(side, "k")._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" in plan_of(lookup.lookup_side(df))
-    assert "strategy=broadcast" not in plan_of(lookup.lookup_side(df, max_rows=9))
+    assert "strategy=broadcast" not in plan_of(lookup.lookup_side(df, max_bytes=9))
+
+
+# ---- exact hours, binding size check, written-out rows --------------------------------------------
+
+
+def test_hours_keep_their_type_and_are_not_rounded(spark):
+    import decimal
+
+    from termloom.sources import HOURS, conform, number_type
+
+    ddl = "id_num bigint, yr_cde string, trm_cde string, grade_cde string, transaction_sts string, credit_hrs double, hrs_attempted decimal(9,3), credit_type_cde string"
+    rows = [(1, "2021", "FA", "A", "H", 0.004, decimal.Decimal("3.999"), "CR")] * 3
+    loaded = conform(spark.createDataFrame(rows, ddl), "courses")
+    assert loaded.agg(F.sum("hrs_attempted")).first()[0] == decimal.Decimal("11.997")
+    assert loaded.where("credit_hrs > 0").count() == 3
+    kinds = spark.createDataFrame([], "a int, b float, c string, d decimal(5,1), e double").schema
+    assert [number_type(f.dataType) for f in kinds] == ["bigint", "double", "decimal(38,10)", "decimal(5,1)", "double"]
+    assert HOURS == "number"
+
+
+def test_hours_just_below_full_time_are_part_time(spark):
+    term = [("2021", "FA", D(2020, 8, 20), D(2020, 12, 15)), ("ZZZZ", "ZZ", D(1900, 1, 1), D(1900, 1, 1))]
+    course = (1, "2021", "FA", "A", "H", 3, "3.999", "CR")
+    rows = {"year_terms": term, "courses": [course] * 3, "cohort": [(1,)], "degrees": [(1, D(2020, 9, 1), None, None, None, "", "M1", None, "", "BA", "U")]}
+    sources, _ = made_up.tables(spark, {**rows, "courses": [course] * 3})
+    cfg = Config(last_term_end=D(2021, 1, 1))
+    facts = plan.derived_codes(plan.term_facts(sources, cfg), cfg)
+    assert {r.ft_pt_ind for r in facts.collect()} == {"P"}
+
+
+def test_a_lookup_over_the_bound_is_never_broadcast(spark):
+    """Spark's estimate does not see an explode; the hint holds at the default threshold."""
+    calendar = spark.createDataFrame([("0001", "FA", D(1900, 1, 1), D(9999, 12, 31))], "yr_cde string, trm_cde string, trm_begin_dte date, extend_trm_end_dte date")
+    dates = spark.createDataFrame([(D(2020, 1, 1),)], "d date")
+    small = cal.interval_lookup(dates, cal.term_months(calendar), "d")
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString() and small.first().term_code == 190001
+    exploded = calendar.select(F.explode(F.sequence(F.lit(0), F.lit(5_000_000))).alias("k"))
+    joined = spark.range(5).withColumnRenamed("id", "k").join(lookup.lookup_side(exploded), "k")
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text and "SinglePartition" not in text
+
+
+def test_pieces_are_written_out(spark):
+    rows = spark.createDataFrame([(1, 5, 3, 3, True), (1, 6, 1, 3, False)], "id_num long, row_num long, weight long, hist_group long, starts boolean")
+    out = plan.written_out(rows).orderBy("row_num").collect()
+    assert [(r.row_num, r.hist_group, r.weight) for r in out] == [(3, 1, 1), (4, 2, 1), (5, 3, 1), (6, 3, 1)]
+
+
+def test_lookup_equals(spark):
+    rows = spark.createDataFrame([(1, 10), (1, 11), (2, 10), (3, None)], "k int, v int")
+    side = spark.createDataFrame([(1, 10), (3, 5)], "k int, w int")
+    assert sorted((r.k, r.v or 0, r.f) for r in lookup.lookup_equals(rows, side, "k", "w", "v", "f").collect()) == [(1, 10, "Y"), (1, 11, "N"), (2, 10, "N"), (3, 0, "N")]
+
+
+def test_separator_with_a_quote(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    from termloom.operators.collapse import collapse
+
+    assert collapse(rows, ["k"], {"v": "all"}, separator="'").first()["all"] == "a'b"
