@@ -30,7 +30,7 @@ EMPTY = np.uint64(2**64 - 1)
 MATRIX_BYTES = 128
 #: Text that is encoded at once, and chunks that a worker remembers.
 PART_CHARS = 1 << 20
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
