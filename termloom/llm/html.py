@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh, kept_by_worker
+from .shared import fresh, kept_by_worker, least_by_hash
 
 #: Pages that reach the driver to learn from, at most, and their length at most. All pages are labelled, and whole.
 SAMPLE_PAGES, SAMPLE_CHARS = 200, 60_000
@@ -336,7 +336,7 @@ def main_texts(network: Network, pages: list[str | None]) -> list[str]:
 def fit(pages: DataFrame, html_column: str = "html") -> Network:
     """Train on at most SAMPLE_PAGES pages, the least by a hash of their html."""
     fit_rows = pages.where(F.length(html_column).between(1, SAMPLE_CHARS)).select(F.col(html_column).alias("html"))
-    return train([x.html for x in fit_rows.orderBy(F.xxhash64("html"), "html").limit(SAMPLE_PAGES).collect()])
+    return train([x.html for x in least_by_hash(fit_rows, F.xxhash64("html"), SAMPLE_PAGES).collect()])
 
 
 def extract(pages: DataFrame, network: Network, html_column: str = "html", keep: list[str] | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .bpe import parts
 from .quality import held_out
-from .shared import fresh, kept_by_worker
+from .shared import fresh, kept_by_worker, least_by_hash
 
 #: Learning rows that reach the driver at most, and words used of each. All other steps cover all rows and whole texts.
 SAMPLE_ROWS = 2400
@@ -216,13 +216,14 @@ def learning_rows(docs: DataFrame) -> Column:
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on at most `sample_rows` learning rows, as many of each language, the least by a hash of id and text."""
-    rows = docs.where(learning_rows(docs)).select("lang", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("order"), "text")
+    rows = docs.where(learning_rows(docs)).select("lang", "doc_id", "text")
     words = F.slice(F.split("text", r"\s+"), 1, SAMPLE_WORDS)
     languages = [x.lang for x in rows.select("lang").distinct().collect()]
     share = -(-sample_rows // max(1, len(languages)))
     sample: list[tuple[list[str], str]] = []
     for language in sorted(languages):
-        best = rows.where(F.col("lang") == language).orderBy("order").limit(share).select(F.array_join(words, " ").alias("text")).collect()
+        own = rows.where(F.col("lang") == language)
+        best = least_by_hash(own, F.xxhash64(F.col("doc_id").cast("string"), "text"), share).select(F.array_join(words, " ").alias("text")).collect()
         sample += [(WORD.findall(x.text.lower()), language) for x in best]
     return train(sample)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import least_by_hash, stored
 
 #: Vectors from which centroids are learned, at most; all vectors are indexed.
 SAMPLE_ROWS = 16_384
@@ -26,7 +26,7 @@ MOST_LISTS = 8192
 CHUNK_ROWS = 4096
 EDGES, BEAM = 24, 96
 COPIES, COPY_RATIO = 6, 1.15
-PROBES, PROBE_RATIO = 48, 1.6
+PROBES, PROBE_RATIO = 64, 1.6
 ROUNDS = 8
 SEED = 5
 
@@ -198,7 +198,7 @@ def nearest(vectors: DataFrame, is_query: Column, count: int = 20, id_column: st
     entries = stored(least.groupBy("v").agg(F.min("id").alias("key"), F.collect_list("id").alias("ids")), "entries")  # count + 1 ids at most
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     total, largest = entries.agg(F.count("*"), F.max(norm)).first()
-    sample = entries.orderBy(F.xxhash64("key"), "key").limit(SAMPLE_ROWS).select("v").collect()
+    sample = least_by_hash(entries.select("key", "v"), F.xxhash64("key"), SAMPLE_ROWS).select("v").collect()
     lists = max(1, min(MOST_LISTS, len(sample), -(-total // LIST_ROWS)))
     index = spark.sparkContext.broadcast(build(np.array([x.v for x in sample]), float(largest), lists))
 

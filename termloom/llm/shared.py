@@ -94,3 +94,17 @@ def small_or_merged(df: DataFrame) -> DataFrame:
     """A table counted before a join: broadcast if it is small, else held to a shuffled join with the same result."""
     width = sum({"string": 64, "array": 256}.get(f.dataType.typeName(), 16) for f in df.schema.fields)
     return F.broadcast(df) if df.count() * width <= BROADCAST_BYTES else df.hint("merge")
+
+
+def least_by_hash(df: DataFrame, order: Column, most: int) -> DataFrame:
+    """At most `most` rows, the least by a 64-bit hash.
+
+    Rows that cannot be among them are dropped where they are read: a few times `most` rows are sorted and sent on, however
+    many partitions there are.
+    """
+    name, total = fresh(df, "order"), df.count()
+    part = min(1.0, 4 * most / max(1, total))
+    marked = df.withColumn(name, order)
+    if part < 1:
+        marked = marked.where(F.col(name) <= int(part * 2.0**64) - (1 << 63))
+    return marked.orderBy(name).limit(most).drop(name)
