@@ -65,3 +65,9 @@ class Config:
     admit_type: str = "ST"
     # Put in front of every output column but the last one.
     column_prefix: str = ""
+
+    def __post_init__(self):
+        levels = [level for _, _, level in self.level_rules]
+        # Each level has a bit of an integer of its own.
+        if any(not -1 <= level <= 28 for level in levels):
+            raise ValueError("levels must lie between -1 and 28")

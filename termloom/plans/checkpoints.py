@@ -3,22 +3,24 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Run ``df`` once and go on from its result, stored in the session's checkpoint folder.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``. A local session may do without and gets a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        folder = tempfile.mkdtemp(prefix="termloom-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
 
-    The folder is ``spark.checkpoint.dir``. A local session may do without and gets a temporary one.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-            folder = tempfile.mkdtemp(prefix="termloom-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Run ``df`` once and go on from its result, as columns of files: a later step reads those it needs."""
+    path = f"{checkpoint_folder(df.sparkSession)}/history-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -579,3 +579,8 @@ def test_separator_with_a_quote(spark):
     from termloom.operators.collapse import collapse
 
     assert collapse(rows, ["k"], {"v": "all"}, separator="'").first()["all"] == "a'b"
+
+
+def test_levels_have_bits():
+    with pytest.raises(ValueError, match="between -1 and 28"):
+        Config(level_rules=(("degr_cde", ("A",), 29),))
