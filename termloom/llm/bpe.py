@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .shared import fresh, kept_by_worker
+from .shared import fresh, kept_by_worker, text_batches
 
 #: Rank of a pair that is no token.
 NO_PAIR = np.int32(2**31 - 1)
@@ -233,6 +233,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text_column: str = "t
     vocabulary: path of a file of ranks, read by the driver and broadcast (a vocabulary is of fixed size). Null and empty
     texts get no ids (an empty value). Other columns stay (or those of `keep`); one named like `ids_column` is replaced. Rows stay one to one.
     """
+    text_batches(docs.sparkSession)
     table = docs.sparkSession.sparkContext.broadcast(pair_table(read_ranks(vocabulary)))
     names, schema = with_column(docs, ids_column, keep)
     text, run = fresh(docs, "whole_text"), uuid.uuid4().hex

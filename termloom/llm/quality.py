@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import text_batches
+
 STATISTICS = (
     "log_bytes", "log_words", "mean_word", "spread_word", "longest_word", "upper", "digit", "punctuation", "symbol",
     "space", "line_end", "beyond_ascii", "distinct_words", "top_word", "repeated_next", "symbol_words", "upper_words",
@@ -78,6 +80,7 @@ def with_statistics(docs: DataFrame, id_column: str = "doc_id", text_column: str
             found = _table(batch.column(1))
             yield pa.record_batch([batch.column(0), *[pa.array(x) for x in found.T]], ["id", *STATISTICS])
 
+    text_batches(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(F.col(id_column).alias("id"), text_column).mapInArrow(work, ", ".join([f"id {kind}", *[f"{x} double" for x in STATISTICS]]))
 

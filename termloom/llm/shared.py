@@ -108,3 +108,14 @@ def least_by_hash(df: DataFrame, order: Column, most: int) -> DataFrame:
     if part < 1:
         marked = marked.where(F.col(name) <= int(part * 2.0**64) - (1 << 63))
     return marked.orderBy(name).limit(most).drop(name)
+
+
+#: Rows of an Arrow batch: texts are long, and Spark's default of 10,000 would hold tens of MB on both sides of each worker.
+TEXT_ROWS = 1000
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Make the session's Arrow batches fit for texts, unless its user has chosen a size."""
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, str(TEXT_ROWS))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, hex64, stored
+from .shared import components, hex64, stored, text_batches
 
 #: Rows of a group that one task joins at most; larger groups are cut into chunks, and pairs of chunks are joined.
 GROUP_ROWS = 8192
@@ -53,6 +53,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             fps = [fingerprint(x.as_py(), width) for x in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
 
+    text_batches(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(F.col(id_column).alias("id"), text_column).mapInArrow(work, f"id {kind}, fp long")
 
