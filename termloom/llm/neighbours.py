@@ -2,7 +2,8 @@
 
 Centroids of a bounded sample sit in a nearest-neighbour graph that every task searches in memory. A vector joins the list
 of its nearest centroid and of each other centroid whose distance is within a ratio of that; a query reads the lists within
-its own, wider ratio. An extra coordinate turns the largest inner product into the least distance. Equal vectors are one
+its own, wider ratio, at most a fixed part of all lists: more lists of larger tables would otherwise be a smaller part, and
+neighbours be lost. An extra coordinate turns the largest inner product into the least distance. Equal vectors are one
 entry with its least ids, which loses no result: a query needs at most its count of neighbours plus itself of them. Lists
 over a fixed size are cut into chunks, as are the queries that read one list, so that no task holds more than both sizes.
 """
@@ -27,6 +28,8 @@ CHUNK_ROWS = 4096
 EDGES, BEAM = 24, 96
 COPIES, COPY_RATIO = 6, 1.15
 PROBES, PROBE_RATIO = 64, 1.6
+#: A query reads up to one of so many lists, PROBES at least.
+PROBE_PART = 12
 ROUNDS = 8
 SEED = 5
 
@@ -71,9 +74,23 @@ class Index(NamedTuple):
         ids, far = np.take_along_axis(ids, order, axis=1), np.take_along_axis(far, order, axis=1)
         return ids, np.maximum(far + (points**2).sum(axis=1)[:, None], 0.0)
 
+    def scan(self, points: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """(centroids, squared distances) of the nearest `most`, nearest first, from the distances to all."""
+        far = (self.centroids**2).sum(axis=1) - 2 * points @ self.centroids.T
+        ids = np.argpartition(far, most - 1, axis=1)[:, :most]
+        ids = np.take_along_axis(ids, np.argsort(np.take_along_axis(far, ids, axis=1), axis=1, kind="stable"), axis=1)
+        return ids, np.maximum(np.take_along_axis(far, ids, axis=1) + (points**2).sum(axis=1)[:, None], 0.0)
+
+    def probes(self) -> int:
+        """Lists that a query reads at most."""
+        return max(PROBES, -(-len(self.centroids) // PROBE_PART))
+
     def lists(self, points: np.ndarray, most: int, ratio: float) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs: the nearest lists whose distance is at most `ratio` times the least, `most` at the most."""
-        ids, far = self.search(points)
+        """(row, list) pairs: the nearest lists whose distance is at most `ratio` times the least, `most` at the most.
+
+        The walk finds the nearest few of its beam; for more, all centroids cost less than a beam that is wide enough.
+        """
+        ids, far = self.search(points) if most <= PROBES else self.scan(points, most)
         near = np.sqrt(far[:, :most]) <= ratio * np.sqrt(far[:, :1]) + 1e-12
         near &= ids[:, :most] >= 0
         row, column = np.nonzero(near)
@@ -141,7 +158,7 @@ def _spread(df: DataFrame, index, queries: bool) -> DataFrame:
                 part = batch.slice(at, 512)
                 vectors = _matrix(part.column("v"))
                 points = own.query_points(vectors) if queries else own.stored_points(vectors)
-                row, lists = own.lists(points, *((PROBES, PROBE_RATIO) if queries else (COPIES, COPY_RATIO)))
+                row, lists = own.lists(points, *((own.probes(), PROBE_RATIO) if queries else (COPIES, COPY_RATIO)))
                 rows = part.take(pa.array(row))
                 yield pa.record_batch([pa.array(lists, pa.int64()), rows.column("key"), rows.column("v")], ["list", "key", "v"])
 

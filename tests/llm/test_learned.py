@@ -6,6 +6,8 @@ import re
 
 import helpers
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,3 +274,22 @@ def test_recall_over_many_lists(spark, monkeypatch):
         scores[k] = -np.inf
         hits += len(got[ids[k]] & set(ids[np.argsort(-scores)[:20]].tolist()))
     assert hits / (20 * len(got)) >= 0.9
+
+
+def test_recall_where_64_lists_are_a_small_part(spark, tmp_path):
+    """200,000 unit vectors without clusters, 2,084 lists as shipped, against brute force."""
+    vectors = np.random.default_rng(1).normal(size=(200_000, 64))
+    vectors /= np.sqrt((vectors**2).sum(axis=1))[:, None]
+    column = pa.ListArray.from_arrays(np.arange(0, vectors.size + 1, 64, dtype=np.int32), vectors.ravel())
+    pq.write_table(pa.table({"vec_id": np.arange(len(vectors)), "embedding": column}), str(tmp_path / "v.parquet"), row_group_size=12_500)
+    frame = spark.read.parquet(str(tmp_path / "v.parquet")).repartition(16)
+    got = {}
+    for r in neighbours.nearest(frame, F.col("vec_id") % 2000 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for k in range(0, len(vectors), 2000):
+        scores = vectors @ vectors[k]
+        scores[k] = -np.inf
+        hits += len(got[k] & set(np.argsort(-scores)[:20].tolist()))
+    print(f"recall {hits / (20 * len(got)):.4f}")
+    assert hits / (20 * len(got)) >= 0.96
