@@ -40,7 +40,10 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME = re.compile(r"[a-z]+")
 #: Elements of HTML by how they are read.
-RAW = frozenset("script style noscript template iframe object svg math canvas textarea title head".split())
+RAW = frozenset("script style noscript template iframe object svg math canvas textarea title".split())
+#: Raw elements whose content is no markup; nothing but their own closing tag ends them.
+PLAIN = frozenset("script style noscript iframe textarea title".split())
+CLOSING = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for tag in RAW}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img".split())
 #: Containers of the main text, and of everything else, for the weak labels and the made-up variants.
@@ -77,6 +80,14 @@ def blocks(page: str) -> list[Block]:
     texts: list[str] = []
     at = links = linked = 0
     skip = ""
+    closings: dict[str, tuple[int, int]] = {}
+
+    def closing(tag: str) -> tuple[int, int]:
+        """(start, end) of the next closing tag from here on; the page's length where there is none."""
+        if closings.get(tag, (-1, -1))[0] < at:
+            m = CLOSING[tag].search(page, at)
+            closings[tag] = m.span() if m else (len(page), len(page))
+        return closings[tag]
 
     def close() -> None:
         nonlocal linked
@@ -99,7 +110,7 @@ def blocks(page: str) -> list[Block]:
                 del path[k:]
                 return
 
-    for token in TOKEN.finditer(page):
+    while token := TOKEN.search(page, at):
         add(page[at : token.start()])
         at = token.end()
         end, name, attributes = (token[1], token[2], token[3]) if token[2] else (token[4], token[5], token[6])
@@ -110,13 +121,22 @@ def blocks(page: str) -> list[Block]:
         tag = name.lower()
         if skip:
             skip = "" if end and tag == skip else skip
+            if tag in PLAIN and not end and not attributes.endswith("/") and closing(tag)[0] < closing(skip)[0]:
+                at = closing(tag)[1]
+            continue
+        if tag == "head":
+            close()  # what a head may hold is raw or without text, so a head needs no end
             continue
         if tag == "body":
             continue
         if tag in RAW and not end:
             if tag not in INLINE:
                 close()
-            skip = "" if attributes.endswith("/") else tag
+            if not attributes.endswith("/"):
+                if tag in PLAIN:
+                    at = closing(tag)[1]
+                else:
+                    skip = tag
             continue
         if tag == "a":
             links = max(0, links + (-1 if end else 1))

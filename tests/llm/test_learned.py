@@ -221,6 +221,25 @@ def test_odd_pages(spark, network):
     assert [b.text for b in html.blocks("<p>one<br>two <i>three</i><script>x</script> four<p>five")] == ["one two three", "four", "five"]
 
 
+def test_text_after_raw_elements_and_open_heads():
+    """Scripts and styles are no markup; a head ends without its closing tag."""
+    pages = {
+        "<script>for(i=0;i<n;i++){f(i)}</script><p>Body</p><script>g()</script><p>End</p>": ["Body", "End"],
+        "<script>var x = '<!-- <a b=\"';</SCRIPT ><p>Body</p>": ["Body"],
+        "<style>a>b{content:'<x'}</style><p>Body</p>": ["Body"],
+        "<textarea><p>not this</textarea><p>Body": ["Body"],
+        "<title>a <b and </titles> c</title><p>Body": ["Body"],
+        "<svg><script>if(a<b){}</script><text>no</text></svg><p>Body": ["Body"],
+        "<svg><title>open</svg><p>Body<title>x</title>": ["Body"],
+        "<head><title>x</title><body><article><p>Body</p></article>": ["Body"],
+        "<html><head><title>x</title><meta charset=a><link href=b><style>p{}</style><article><p>Body</p></article>": ["Body"],
+        "<head><title>x</title><script>if(a<b){}</script></head><body><p>Body</p>": ["Body"],
+        "<p>Body</p><script>var x = '<p>'": ["Body"],
+    }
+    assert {page: [b.text for b in html.blocks(page)] for page in pages} == pages
+    assert html.blocks("<head><title>x</title><body><article><p>Body")[0].path == ("article", "p")
+
+
 # ---- neighbours -----------------------------------------------------------------------------------
 
 
