@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh, kept_by_worker, least_by_hash
+from .shared import fresh, kept_by_worker
 
 #: Pages that reach the driver to learn from, at most, and their length at most. All pages are labelled, and whole.
 SAMPLE_PAGES, SAMPLE_CHARS = 200, 60_000
@@ -353,10 +353,41 @@ def main_texts(network: Network, pages: list[str | None]) -> list[str]:
     return out
 
 
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash, html) of the pages that weak labels can be had for, each distinct page once per task."""
+    seen: set[int] = set()
+    for batch in batches:
+        for hash_, page in zip(batch.column("hash").to_pylist(), batch.column("html"), strict=True):
+            if hash_ not in seen:
+                seen.add(hash_)
+                if weak_labels(blocks(page.as_py())):
+                    yield pa.record_batch([pa.array([hash_], pa.int64()), pa.array([page.as_py()], pa.string())], ["hash", "html"])
+
+
+def sample(pages: DataFrame, html_column: str = "html") -> list[str]:
+    """At most SAMPLE_PAGES distinct pages with main text in a main element, the least by a hash of their html.
+
+    Copies count once. Only hashes of pages that may have a main element are sorted; where too few of the first ones have
+    weak labels, more follow, four times as many each time, until the bound is reached or no page is left.
+    """
+    rows = pages.where(F.length(html_column).between(1, SAMPLE_CHARS)).select(F.xxhash64(html_column).alias("hash"), F.col(html_column).alias("html"))
+    rest, found, take = rows, [], 2 * SAMPLE_PAGES
+    while len(found) < SAMPLE_PAGES:
+        likely = rest.where(F.col("html").rlike(r"(?i)<(?:article|main)[\s/>]"))
+        n, last = likely.select("hash").distinct().orderBy("hash").limit(take).agg(F.count("*"), F.max("hash")).first()
+        if not n:
+            break
+        part = likely.where(F.col("hash") <= last).mapInArrow(_labelled, "hash long, html string").dropDuplicates(["hash"])
+        found += [x.html for x in part.orderBy("hash").limit(SAMPLE_PAGES - len(found)).collect()]
+        if n < take:
+            break
+        rest, take = rows.where(F.col("hash") > last), 4 * take
+    return found
+
+
 def fit(pages: DataFrame, html_column: str = "html") -> Network:
-    """Train on at most SAMPLE_PAGES pages, the least by a hash of their html."""
-    fit_rows = pages.where(F.length(html_column).between(1, SAMPLE_CHARS)).select(F.col(html_column).alias("html"))
-    return train([x.html for x in least_by_hash(fit_rows, F.xxhash64("html"), SAMPLE_PAGES).collect()])
+    """Train on the sampled pages."""
+    return train(sample(pages, html_column))
 
 
 def extract(pages: DataFrame, network: Network, html_column: str = "html", keep: list[str] | None = None) -> DataFrame:

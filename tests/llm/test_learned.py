@@ -240,6 +240,18 @@ def test_text_after_raw_elements_and_open_heads():
     assert html.blocks("<head><title>x</title><body><article><p>Body")[0].path == ("article", "p")
 
 
+def test_sample_counts_distinct_pages_with_main_text(spark, monkeypatch):
+    """Many copies of each page, and many pages without a main element or with an empty one."""
+    monkeypatch.setattr(html, "SAMPLE_PAGES", 20)
+    good = [f"<body><nav>n</nav><article class=x><p>Text of page {k}.</p></article>" for k in range(24)]
+    bad = [f"<body><p>Page {k}</p>" for k in range(200)] + [f"<main></main><p>Page {k}</p>" for k in range(200)]
+    frame = spark.createDataFrame([(x,) for x in good * 100 + bad * 3 + [None, ""]], "html string").repartition(8)
+    found = html.sample(frame)
+    assert len(found) == len(set(found)) == 20 and set(found) <= set(good)
+    assert sorted(html.sample(frame.where(F.col("html").isin(good[:7])))) == sorted(good[:7])
+    assert html.sample(frame.where(F.col("html").isin(bad))) == []
+
+
 # ---- neighbours -----------------------------------------------------------------------------------
 
 
