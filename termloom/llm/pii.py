@@ -3,8 +3,10 @@
 DataFrame functions only; a text never leaves its row and nothing is shuffled but counts. Generators propose spans of loose
 forms, which may overlap each other and the base spans. Their format and context become a few small whole numbers, so all
 candidates of a corpus are one table of feature values with counts, bounded by the number of values. Gradient-boosted trees
-are fitted to it on the driver; weak labels say whether a candidate touches a checked base span. Per kind, the least score
-that keeps the wanted precision on texts the trees have not seen is the threshold. The trees become a SQL expression.
+are fitted to it on the driver. Checked base spans of a candidate's kind stand for the same span in a loose form: they are
+the positives, described without what only a base form shows. Failed checks and spans of another kind are the negatives; a
+loose span that passes is unlabelled, however frequent. Per kind, the least score that keeps the wanted precision on
+labelled spans of texts the trees have not seen is the threshold. The trees become a SQL expression.
 """
 
 from __future__ import annotations
@@ -40,10 +42,10 @@ LOOSE = (
 LOOSE_GATES = (r"(?i)@|[\[({ ]at[\])} ]", r"[0-9]\]?\.\[?[0-9]+\[?\.", r"[0-9]{4}[\x20._/-]?[0-9]{2}", r"[0-9]{3}[\x20./-][0-9]{4}")
 CUES = (
     r"(?i)(?:mail|contact|write|reach|from)", r"(?i)(?:\bip\b|host|server|address)", r"(?i)(?:card|visa|pay|credit|debit|account)",
-    r"(?i)(?:tel|phone|call|fax|mobile|cell|\+[0-9]{1,3}\x20?$)",
+    r"(?i)(?:tel|phone|call|fax|mobile|cell)",
 )
 CONTEXT = 24
-FEATURES = ("kind", "digits", "checked", "joint", "cue", "before", "after")
+FEATURES = ("kind", "digits", "checked", "cue", "before", "after")
 ROUNDS, DEPTH, RATE = 16, 2, 0.5
 PRECISION = 0.95
 
@@ -100,32 +102,36 @@ def _char_class(char: Column) -> Column:
     return F.when(char.rlike(r"^[\p{L}\p{N}]"), 1).when(char.rlike(r"^\S"), 2).otherwise(0)
 
 
-def _features(text: Column, kind: int, x: Column) -> list[Column]:
+def _features(text: Column, kind: int, x: Column, base: Column) -> list[Column]:
+    """The FEATURES of a candidate. What joins its parts is none, and context is that of the base span of its kind that it
+    touches, if any: a plus sign or a plain dot would tell base forms from loose ones."""
+    own = F.filter(base, lambda b: (b["kind"] == kind) & (b["start"] < x["end"]) & (x["start"] < b["end"]))
+    start = F.least(x["start"], F.array_min(F.transform(own, lambda b: b["start"])))
+    end = F.greatest(x["end"], F.array_max(F.transform(own, lambda b: b["end"])))
     match, digits = x["match"], F.length(digits_of(x["match"]))
     octets = match.rlike(rf"^{OCTET}(?:\[?\.\]?{OCTET}){{3}}$")
     checked = (
-        match.rlike(r"[A-Za-z]{2,}$"),
+        match.rlike(r"[A-Za-z]{2,}$") & ~(match.rlike(r"(?i)\x20at\x20") & match.rlike(r"\.[A-Za-z0-9-]+$")),  # 'at home.Then' is prose
         octets,
         F.when(digits.between(13, 19), luhn(digits_of(match))).otherwise(False),
         ~match.rlike(r"^\(?(?:000|555)"),
     )[kind]
-    before = F.substring(text, F.greatest(x["start"] - CONTEXT, F.lit(0)) + 1, F.least(x["start"], F.lit(CONTEXT)))
+    before = F.substring(text, F.greatest(start - CONTEXT, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT)))
     return [
         F.lit(kind),
         F.when(digits < 10, 0).when(digits == 10, 1).when(digits < 13, 2).when(digits < 16, 3).when(digits == 16, 4).otherwise(5),
         checked.cast("int"),
-        F.when(match.rlike(r"[\[({]\x20?(?:at|dot|\.)|\x20(?:at|dot)\x20"), 3).when(match.rlike(r"[()./_]"), 2).when(match.rlike(r"[\x20-]"), 1).otherwise(0),
         before.rlike(CUES[kind]).cast("int"),
         _char_class(F.substring(before, -1, 1)),
-        _char_class(F.substring(text, x["end"] + 1, F.lit(1))),
+        _char_class(F.substring(text, end + 1, F.lit(1))),
     ]
 
 
-def candidates(text: Column) -> Column:
-    """Array of (start, end, the FEATURES) of all generators' spans."""
+def candidates(text: Column, base: Column) -> Column:
+    """Array of (start, end, the FEATURES) of all generators' spans; base: the base spans of the text."""
     def of(kind: int) -> Column:
         def described(x: Column) -> Column:
-            values = [f.cast("int").alias(name) for f, name in zip(_features(text, kind, x), FEATURES, strict=True)]
+            values = [f.cast("int").alias(name) for f, name in zip(_features(text, kind, x, base), FEATURES, strict=True)]
             return F.struct(x["start"].alias("start"), x["end"].alias("end"), *values)
 
         return F.transform(located(text, LOOSE[kind], LOOSE_GATES[kind]), described)
@@ -133,6 +139,12 @@ def candidates(text: Column) -> Column:
     return F.concat(*map(of, range(len(KINDS))))
 
 
+def weak_label(spans: Column, x: Column) -> Column:
+    """1: touches a base span of its kind; 0: only one of another kind, or fails its check; else null."""
+    own = F.filter(spans, lambda b: b["kind"] == x["kind"])
+    return F.when(touches(own, x), 1).when(touches(spans, x) | (x["checked"] == 0), 0)
+
+
 def touches(spans: Column, x: Column) -> Column:
     return F.exists(spans, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
 
@@ -203,20 +215,28 @@ class Model:
 
 
 def fit(docs: DataFrame, text_column: str = "text", precision: float = PRECISION) -> Model:
-    """Count all candidates of all texts by feature values, boost on half of the texts, set thresholds on the other half."""
+    """Count the labelled candidates of all texts by feature values, boost on half of the texts, set thresholds on the other.
+
+    A kind without a positive on the other half takes its threshold from all texts; without any, nothing of it is added.
+    """
     text = F.coalesce(F.col(text_column), F.lit(""))
-    found = docs.select((F.xxhash64(text) % 2 == 0).alias("seen"), base_spans(text).alias("base"), candidates(text).alias("found"))
-    rows = found.select("seen", "base", F.explode("found").alias("x")).select("seen", "x.*", touches(F.col("base"), F.col("x")).cast("int").alias("label"))
+    found = docs.select(text.alias("text"), base_spans(text).alias("base"))
+    found = found.select((F.xxhash64("text") % 2 == 0).alias("seen"), "base", candidates(F.col("text"), F.col("base")).alias("found"))
+    # outer: the filter that explode infers would be pushed down and count the base spans anew for each candidate
+    rows = found.select("seen", "base", F.explode_outer("found").alias("x")).select("seen", "x.*", weak_label(F.col("base"), F.col("x")).alias("label")).where("label is not null")
     counted = rows.groupBy(*FEATURES).agg(*[F.sum(F.when(part, value).otherwise(0)).alias(name) for name, part, value in (
         ("n", F.col("seen"), 1), ("hits", F.col("seen"), F.col("label")), ("held_n", ~F.col("seen"), 1), ("held_hits", ~F.col("seen"), F.col("label")),
     )])
-    table = [(tuple(r[:7]), *r[7:]) for r in counted.orderBy(*FEATURES).collect()]  # at most the number of feature values, 3456
+    width = len(FEATURES)
+    table = [(tuple(r[:width]), *r[width:]) for r in counted.orderBy(*FEATURES).collect()]  # at most the number of feature values, 864
     if not table:
         return Model([], [None] * len(KINDS))
     trees = boost([(x, n, hits) for x, n, hits, _, _ in table if n] or [(x, n, hits) for x, _, _, n, hits in table])
     thresholds: list[float | None] = []
     for kind in range(len(KINDS)):
-        scored = sorted(((sum(value_of(t, x) for t in trees), n, hits) for x, _, _, n, hits in table if x[0] == kind and n), reverse=True)
+        own = [x for x in table if x[0][0] == kind]
+        own = [(x, n, hits) for x, _, _, n, hits in own] if any(x[4] for x in own) else [(x, n + m, hits) for x, n, hits, m, _ in own]
+        scored = sorted(((sum(value_of(t, x) for t in trees), n, hits) for x, n, hits in own if n), reverse=True)
         total = right = 0
         threshold = None
         for score, n, hits in scored:
@@ -234,7 +254,8 @@ def with_spans(docs: DataFrame, model: Model, text_column: str = "text") -> Data
     empty text. Rows stay one to one.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
-    found = docs.select(F.struct("*").alias("row"), base_spans(text).alias("base"), candidates(text).alias("found"))
+    found = docs.select(F.struct("*").alias("row"), text.alias("text"), base_spans(text).alias("base"))
+    found = found.select("row", "base", candidates(F.col("text"), F.col("base")).alias("found"))
     added = F.filter("found", lambda x: model.accepts(x) & ~touches(F.col("base"), x))
     added = F.transform(added, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
     return found.select("row", "base", F.array_sort(F.concat("base", added)).alias("spans"))

@@ -167,6 +167,24 @@ def test_redaction(spark):
     assert pii.redact(helpers.no_documents(spark)).count() == 0
 
 
+@pytest.mark.parametrize("times", [1, 40])
+def test_loose_forms_are_added_however_frequent(spark, times):
+    """Loose forms once, or far more often than their base forms; what fails a check stays."""
+    base = [f"mail a{k}.b@site.org now, call +1 (212) 555-01{k:02} or see host 10.0.{k}.1 today, card 4111 1111 1111 1111 here" for k in range(40)]
+    loose = [f"mail a{k} [at] site [dot] org now, call (212) 555-01{k:02} or see host 10[.]0[.]{k}[.]1 today, card 4111.1111.1111.1111 here" for k in range(40)]
+    plain = ["write jo at site dot org soon", "call 212-555-0123 soon"] * 20
+    wrong = [f"mail a{k} at 3.{k} now, call 000-555-01{k:02} or see host 10[.]0[.]{k}[.]999 today, card 4111.1111.1111.1112 here" for k in range(40)]
+    prose = [f"he was at home.Then {k} came" for k in range(20)]
+    texts = base + [t + " x" * n for n in range(times) for t in loose + plain] + wrong + prose
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(8)
+    rows = pii.with_spans(docs, pii.fit(docs)).select("row.text", pii.redacted(F.col("row.text"), F.col("spans")).alias("clean"), F.size("spans").alias("n"), F.size("base").alias("b")).collect()
+    by = {r.text: r for r in rows}
+    assert {by[t].n for t in loose} == {4} and {by[t].b for t in loose} == {0}
+    assert {by[t].clean for t in loose} == {"mail [EMAIL] now, call [PHONE] or see host [IP] today, card [CARD] here"}
+    assert {by[t].clean for t in plain} == {"write [EMAIL] soon", "call [PHONE] soon"}
+    assert {by[t].n for t in wrong + prose} == {0}
+
+
 # ---- pages ----------------------------------------------------------------------------------------
 
 
