@@ -27,6 +27,8 @@ from .shared import fresh, kept_by_worker, least_by_hash
 #: Learning rows that reach the driver at most, and words used of each. All other steps cover all rows and whole texts.
 SAMPLE_ROWS = 2400
 SAMPLE_WORDS = 120
+#: Words that stand together in what is used of a longer row.
+RUN_WORDS = 12
 BUCKETS = 1 << 16
 NOTHING = BUCKETS
 #: Words with a weight of their own: seen so often in the learning rows.
@@ -214,16 +216,25 @@ def learning_rows(docs: DataFrame) -> Column:
     return ~held_out("doc_id", 4, 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()
 
 
+def sampled_words(text: Column) -> Column:
+    """A text's words, blank-joined; of more than SAMPLE_WORDS, runs from all over the text, the least by a hash of their place and the text."""
+    words = F.split(text, r"\s+")
+    last = F.floor((F.size(words) - 1) / RUN_WORDS).cast("int")
+    places = F.transform(F.sequence(F.lit(0), last), lambda k: F.struct(F.xxhash64(k, text).alias("hash"), k.alias("place")))
+    least = F.array_sort(F.transform(F.slice(F.array_sort(places), 1, SAMPLE_WORDS // RUN_WORDS), lambda x: x["place"]))
+    runs = F.transform(least, lambda k: F.array_join(F.slice(words, k * RUN_WORDS + 1, RUN_WORDS), " "))
+    return F.when(F.size(words) <= SAMPLE_WORDS, F.array_join(words, " ")).otherwise(F.array_join(runs, " "))
+
+
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on at most `sample_rows` learning rows, as many of each language, the least by a hash of id and text."""
     rows = docs.where(learning_rows(docs)).select("lang", "doc_id", "text")
-    words = F.slice(F.split("text", r"\s+"), 1, SAMPLE_WORDS)
     languages = [x.lang for x in rows.select("lang").distinct().collect()]
     share = -(-sample_rows // max(1, len(languages)))
     sample: list[tuple[list[str], str]] = []
     for language in sorted(languages):
         own = rows.where(F.col("lang") == language)
-        best = least_by_hash(own, F.xxhash64(F.col("doc_id").cast("string"), "text"), share).select(F.array_join(words, " ").alias("text")).collect()
+        best = least_by_hash(own, F.xxhash64(F.col("doc_id").cast("string"), "text"), share).select(sampled_words(F.col("text")).alias("text")).collect()
         sample += [(WORD.findall(x.text.lower()), language) for x in best]
     return train(sample)
 

@@ -90,6 +90,14 @@ def test_languages_on_held_out_rows_and_switched_texts(spark):
     assert found[:20].count("en") >= 14 and found[-20:].count("de") >= 14
 
 
+def test_sampled_words_come_from_all_over_a_text(spark):
+    texts = [" ".join(f"w{k}" for k in range(n)) for n in (3, 120, 121, 5000)]
+    found = [r.s.split() for r in spark.createDataFrame([(t,) for t in texts], "text string").select(langid.sampled_words(F.col("text")).alias("s")).collect()]
+    assert [" ".join(x) for x in found[:2]] == texts[:2] and all(100 < len(x) <= 120 for x in found[2:])
+    places = [int(w[1:]) for w in found[3]]
+    assert places == sorted(set(places)) and places[-1] > 2500 and sum(p >= 120 for p in places) >= 96
+
+
 def test_language_of_odd_and_no_rows(spark):
     docs = helpers.odd_documents(spark)
     model = langid.fit(docs)
