@@ -8,7 +8,6 @@ Words are cut into segments of equal length, which run through forward-backward
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from collections import Counter
@@ -17,6 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +40,7 @@ MIXED = 0.5
 SEED = 11
 REMEMBERED = 800_000
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = regex.compile(r"\p{L}+")
 
 
 def _mixed(grams: np.ndarray, salt: int) -> np.ndarray:

@@ -98,6 +98,10 @@ def test_sampled_words_come_from_all_over_a_text(spark):
     assert places == sorted(set(places)) and places[-1] > 2500 and sum(p >= 120 for p in places) >= 96
 
 
+def test_words_are_letters_only():
+    assert langid.WORD.findall("\u00b2 \u00bd \u2167 \u2460 12 _") == [] and langid.WORD.findall("a\u00b2b caf\u00e9 \u6f22") == ["a", "b", "caf\u00e9", "\u6f22"]
+
+
 def test_language_of_odd_and_no_rows(spark):
     docs = helpers.odd_documents(spark)
     model = langid.fit(docs)
