@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html, langid, neighbours, pii, quality, simhash, suffixes, unigram
+from . import bpe, decontaminate, html, langid, negatives, neighbours, pii, quality, resample, sharding, simhash, suffixes, unigram
 from .shared import hex64, stored
 
 
@@ -83,6 +83,22 @@ def op10_nearest_neighbours(spark: SparkSession, directory: str) -> DataFrame:
     return neighbours.nearest(table(spark, directory, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_importance_resampling(spark: SparkSession, directory: str) -> DataFrame:
+    return resample.resample(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+
+
+def op12_hard_negatives(spark: SparkSession, directory: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, directory, "embeddings"), F.col("vec_id") % 50 == 0, moved)
+
+
+def op13_sharding(spark: SparkSession, directory: str) -> DataFrame:
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
+    dealt = sharding.shards(table(spark, directory, "documents"), 40, ["doc_id", crc])
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return dealt.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
@@ -94,7 +110,61 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_sharding": op13_sharding,
 }
 
-#: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+#: DuckDB SQL of the queries that SQL can express. The CRC-32 of the features is spelled out, byte by byte.
+ORACLE: dict[str, str] = {
+    "op11_importance_resampling": r"""
+        WITH crc AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+                CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        texts AS (
+            SELECT 's' AS kind, doc_id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark),
+        words AS (
+            SELECT kind, doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts),
+        spelled AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM words)),
+        hashed AS (
+            SELECT word, xor(4294967295, list_reduce(
+                list_prepend(4294967295, list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+            FROM spelled, crc),
+        counted AS (SELECT bucket, count(*) FILTER (kind = 's') AS s, count(*) FILTER (kind = 't') AS t FROM words JOIN hashed USING (word) GROUP BY bucket),
+        sums AS (SELECT CAST(sum(s) AS DOUBLE) AS s_all, CAST(sum(t) AS DOUBLE) AS t_all FROM counted),
+        gains AS (
+            SELECT bucket, CAST(floor(1000 * ln(((t + 1) * (s_all + 10000)) / ((s + 1) * (t_all + 10000)))) AS BIGINT) AS gain
+            FROM counted, sums),
+        weights AS (
+            SELECT doc_id, count(*) AS n_features, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+            FROM words JOIN hashed USING (word) JOIN gains USING (bucket) WHERE kind = 's' GROUP BY doc_id),
+        noisy AS (
+            SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(
+                -1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+            FROM documents LEFT JOIN weights USING (doc_id)),
+        placed AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () * 10 // 100 AS drawn
+            FROM noisy WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank
+        FROM noisy LEFT JOIN placed USING (doc_id)""",
+    "op12_hard_negatives": """
+        WITH usable AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+            FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (
+            SELECT * FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+            CAST(row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+        FROM positives p JOIN scored n USING (anchor_id)
+        WHERE NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) <= 3""",
+}
