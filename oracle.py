@@ -169,6 +169,8 @@ RELATIONS = {
     "attempting": f"SELECT DISTINCT id_num FROM courses WHERE {_OWN} AND hrs_attempted > 0",
 }
 
+_LAST_DAY = "DATE '2002-12-31'"
+
 # ---- rules --------------------------------------------------------------------------------------
 
 # Several candidacy rows of one term are told apart by their codes, from then on by row_num.
@@ -355,6 +357,15 @@ RELATIONS |= {
         SELECT user_id, CAST(ts AS DATE) AS day, max(CASE WHEN event_type = 'purchase' THEN value END) AS spent,
                bool_or(event_type = 'signup') AS signed_up, count(*) AS n
         FROM events GROUP BY ALL""",
+    "order_spans": f"""
+        SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS first_day,
+               coalesce(CAST(lead(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey)
+                             - INTERVAL 1 DAY AS DATE), {_LAST_DAY}) AS last_day
+        FROM orders""",
+    "typed_events": """
+        SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN 'look' ELSE event_type END AS kind, ts,
+               CAST(floor(value * 100) AS BIGINT) AS cents, CASE WHEN event_type <> 'view' THEN user_id END AS noted
+        FROM events""",
     "account_quarters": f"""
         SELECT {star.ACCOUNT} AS account, CAST(year(o_orderdate) * 10 + quarter(o_orderdate) AS INTEGER) AS period,
                count(*) AS orders, min(o_orderdate) AS first_order
@@ -362,6 +373,8 @@ RELATIONS |= {
 }
 
 _DAYS = "OVER (PARTITION BY user_id ORDER BY day)"
+_BY_KIND = "OVER (PARTITION BY kind ORDER BY ts, event_id)"
+_TYPED = "OVER (PARTITION BY kind ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
 
 def _keyed(table: str, *columns: str) -> str:
@@ -437,6 +450,29 @@ EXPECTED = {
     "single_quarter_follow_up": """
         WITH q AS (SELECT *, count(*) OVER (PARTITION BY account) AS quarters FROM account_quarters)
         SELECT *, 1 AS part FROM q UNION ALL SELECT *, 2 FROM q WHERE quarters = 1""",
+    "order_periods": "SELECT * FROM order_spans",
+    "keyed_interval_join": """
+        SELECT l_orderkey, l_linenumber, ship_day, s.o_custkey, p.o_orderkey, p.first_day
+        FROM (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS ship_day, o_custkey
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey) s
+        LEFT JOIN order_spans p ON p.o_custkey = s.o_custkey AND ship_day BETWEEN p.first_day AND p.last_day""",
+    "shipment_intervals": f"""
+        SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS ship_day,
+               coalesce(CAST(lead(CAST(l_shipdate AS DATE)) OVER (ORDER BY CAST(l_shipdate AS DATE), l_orderkey, l_linenumber)
+                             - INTERVAL 1 DAY AS DATE), {_LAST_DAY}) AS until
+        FROM lineitem""",
+    "next_observed_time": "SELECT ts, lead(ts) OVER (ORDER BY ts) AS next_ts FROM (SELECT DISTINCT ts FROM events)",
+    "hot_running_sum": f"""
+        SELECT event_id, kind, cents, CAST(count(*) {_TYPED} AS BIGINT) AS nth, CAST(sum(cents) {_TYPED} AS BIGINT) AS total_cents,
+               last_value(noted IGNORE NULLS) {_TYPED} AS last_noted
+        FROM typed_events""",
+    "hot_fill_forward": f"""
+        SELECT event_id, kind, coalesce(noted, {', '.join(f'lag(noted, {k}) {_BY_KIND}' for k in range(1, CFG.fill_depth + 1))}) AS noted
+        FROM typed_events""",
+    "hot_marker_groups": f"""
+        WITH g AS (SELECT *, CAST(count(*) FILTER (event_id % 50 = 0) {_TYPED} AS BIGINT) AS visit FROM typed_events)
+        SELECT event_id, kind, visit, CASE WHEN visit > 0 THEN
+            first_value(noted) OVER (PARTITION BY kind, visit ORDER BY ts, event_id) END AS first_noted FROM g""",
 }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from termloom.functions import courses as course_rules
 from termloom.functions import status
 from termloom.functions.terms import shift_month, term_code
 from termloom.operators import calendar as cal
-from termloom.operators import collapse, curriculum, events, history, output
+from termloom.operators import collapse, curriculum, events, history, output, segments
 from termloom.operators.lookup import keep_keys, lookup_equals, override_code
 from termloom.plans import student_history as plan
 from termloom.plans.student_history import student_term_history
@@ -19,6 +20,8 @@ from termloom.sources import Sources
 from termloom.sources.star import ACCOUNT, STAR_CONFIG, read_table, star_sources
 
 KEYS = list(curriculum.SLOT_KEYS)
+# End of the last interval in the queries over orders and shipments.
+LAST_DAY = datetime.date(2002, 12, 31)
 CODES = [*plan.FILLED, "majr_code_conc_2", "majr_code_1_2"]
 
 
@@ -219,6 +222,57 @@ def shipment_terms(r: Relations) -> DataFrame:
     return cal.interval_lookup(lines, cal.term_months(r.calendar), "l_shipdate")
 
 
+def order_periods(r: Relations) -> DataFrame:
+    """A calendar for each customer: an order opens a period, which lasts to the day before the next one."""
+    orders = r.table("orders").select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("first_day"))
+    return cal.extend_intervals(orders, "first_day", "last_day", ("o_orderkey",), LAST_DAY, by=("o_custkey",))
+
+
+def customer_shipments(r: Relations) -> DataFrame:
+    """Order lines with the customer they go to."""
+    lines = r.table("lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("ship_day"))
+    owners = r.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return lines.join(owners, "l_orderkey")
+
+
+def keyed_interval_join(r: Relations) -> DataFrame:
+    lines = customer_shipments(r)
+    return cal.keyed_interval_lookup(lines, order_periods(r), "o_custkey", "ship_day", "first_day", "last_day", ["o_orderkey", "first_day"])
+
+
+def shipment_intervals(r: Relations) -> DataFrame:
+    """Every shipment lasts to the day before the next one of the whole table."""
+    lines = r.table("lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("ship_day"))
+    return cal.extend_intervals(lines, "ship_day", "until", ("l_orderkey", "l_linenumber"), LAST_DAY, large=True)
+
+
+def typed_events(r: Relations) -> DataFrame:
+    """Events by type: a handful of keys, so each one holds a large part of all rows."""
+    cents = F.floor(F.col("value") * 100).cast("long")
+    noted = F.when(F.col("event_type") != "view", F.col("user_id"))
+    kind = F.when(F.col("event_type").isin("view", "click"), "look").otherwise(F.col("event_type"))
+    return r.table("events").select("event_id", kind.alias("kind"), "ts", cents.alias("cents"), noted.alias("noted"))
+
+
+def hot_running_sum(r: Relations) -> DataFrame:
+    events_ = typed_events(r)
+    sums = {"nth": F.lit(1), "total_cents": F.col("cents")}
+    return segments.running(events_, "kind", ("ts", "event_id"), sums, {"last_noted": F.col("noted")}).drop("ts", "noted")
+
+
+def hot_fill_forward(r: Relations) -> DataFrame:
+    events_ = typed_events(r).select("event_id", "kind", "ts", "noted")
+    return segments.long_fill_forward(events_, "kind", ("ts", "event_id"), ["noted"], r.cfg.fill_depth).drop("ts")
+
+
+def hot_marker_groups(r: Relations) -> DataFrame:
+    events_ = typed_events(r)
+    opens = F.col("event_id") % 50 == 0
+    grouped = segments.long_marker_groups(events_, "kind", ("ts", "event_id"), opens, "visit")
+    first = segments.long_first_in_group(grouped, "kind", ("ts", "event_id"), opens, {"noted": "first_noted"})
+    return first.select("event_id", "kind", "visit", "first_noted")
+
+
 def single_quarter_follow_up(r: Relations) -> DataFrame:
     period = (F.year("o_orderdate") * 10 + F.quarter("o_orderdate")).alias("period")
     quarters = (
@@ -274,6 +328,13 @@ QUERIES: dict[str, Callable[[Relations], DataFrame]] = {
     "order_line_slots": order_line_slots,
     "shipment_terms": shipment_terms,
     "single_quarter_follow_up": single_quarter_follow_up,
+    "order_periods": order_periods,
+    "keyed_interval_join": keyed_interval_join,
+    "shipment_intervals": shipment_intervals,
+    "next_observed_time": lambda r: output.next_in_domain(r.table("events"), "ts", "next_ts", large=True),
+    "hot_running_sum": hot_running_sum,
+    "hot_fill_forward": hot_fill_forward,
+    "hot_marker_groups": hot_marker_groups,
 }
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from termloom.config import Config
 from termloom.functions.terms import term_code
 from termloom.operators.lookup import lookup_side
+from termloom.operators.segments import lead_value, running
 
 
 def extend_intervals(
@@ -19,18 +20,26 @@ def extend_intervals(
     end: str,
     tie_break: Sequence[str] = (),
     last_end: datetime.date | None = None,
+    by: Sequence[str] = (),
+    large: bool = False,
 ) -> DataFrame:
     """Give each interval the day before the next begin as its end, closing all gaps.
 
-    The last interval ends at ``last_end``, or stays open (NULL). For calendar-sized tables: the
-    next begin is looked up over the whole table.
+    The last interval ends at ``last_end``, or stays open (NULL). With ``by`` every key has intervals of its own. A calendar
+    is looked up over the whole table in one task; ``large`` tables and those of many keys are cut into segments, so that
+    neither a table nor a hot key meets in one task.
     """
-    order = Window.orderBy(*[F.asc_nulls_first(c) for c in (begin, *tie_break)])
-    following = F.date_sub(F.lead(begin).over(order), 1)
+    if by or large:
+        followed = lead_value(df, begin, tie_break, "_following", by)
+    else:
+        order = Window.orderBy(*[F.asc_nulls_first(c) for c in (begin, *tie_break)])
+        followed = df.withColumn("_following", F.lead(begin).over(order))
+    following = F.date_sub("_following", 1)
     if last_end is not None:
-        is_last = F.lead(F.lit(1)).over(order).isNull()
+        # NULL begins come first, so only the last row with a begin is followed by none.
+        is_last = F.col("_following").isNull() & F.col(begin).isNotNull()
         following = F.when(is_last, F.lit(last_end)).otherwise(following)
-    return df.select(following.alias(end), "*")
+    return followed.select(following.alias(end), *df.columns)
 
 
 def term_calendar(year_terms: DataFrame, cfg: Config) -> DataFrame:
@@ -89,3 +98,23 @@ def interval_lookup(df: DataFrame, months: DataFrame, on: str, name: str = "term
     inside = (month_number(day) == F.col("_of_month")) & day.between(F.col("_first_day"), F.col("_last_day"))
     dated = df.withColumn("_day", F.col(on).cast("date"))
     return dated.join(side, inside, "left").drop("_day", "_of_month", "_first_day", "_last_day")
+
+
+def keyed_interval_lookup(
+    df: DataFrame, intervals: DataFrame, key: str, on: str, begin: str, end: str, values: Sequence[str]
+) -> DataFrame:
+    """Left join each row to the interval of its own key that its date falls into, adding ``values``; both sides large.
+
+    The intervals of a key must not overlap, as :func:`extend_intervals` leaves them. Both sides become rows of one shape,
+    sorted by key and date, and every row meets the last interval that began before it: one shuffle by key and no pair of
+    rows is compared, however long the intervals are. A hot key is cut into segments by date. Empty intervals, and rows
+    without a key, match nothing. A time of day is ignored.
+    """
+    found = F.struct(F.col(end).cast("date").alias("end"), *values)
+    real = intervals.where(F.col(key).isNotNull() & (F.col(end).cast("date") >= F.col(begin).cast("date")))
+    starts = real.select(F.col(key).alias("_key"), F.col(begin).cast("date").alias("_day"), F.lit(0).alias("_kind"), found.alias("_interval"))
+    rows = df.select(F.col(key).alias("_key"), F.col(on).cast("date").alias("_day"), F.lit(1).alias("_kind"), F.struct("*").alias("_row"))
+    both = starts.unionByName(rows, allowMissingColumns=True)
+    met = running(both, "_key", ("_day", "_kind"), lasts={"_last": F.col("_interval")}).where("_kind = 1")
+    inside = F.col("_key").isNotNull() & (F.col("_day") <= F.col("_last.end"))
+    return met.select("_row.*", *[F.when(inside, F.col(f"_last.{v}")).alias(v) for v in values])

@@ -7,10 +7,17 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termloom.operators.segments import lead_value
 
-def next_in_domain(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Every value of a column with the next larger one that occurs. For period-sized domains."""
+
+def next_in_domain(df: DataFrame, column: str, name: str, large: bool = False) -> DataFrame:
+    """Every value of a column with the next larger one that occurs.
+
+    A domain of periods is small and sorted in one task; a ``large`` one is cut into segments.
+    """
     domain = df.select(column).distinct()
+    if large:
+        return lead_value(domain, column, name=name)
     return domain.withColumn(name, F.lead(column).over(Window.orderBy(F.asc_nulls_first(column))))
 
 
