@@ -462,6 +462,13 @@ EXPECTED = {
                              - INTERVAL 1 DAY AS DATE), {_LAST_DAY}) AS until
         FROM lineitem""",
     "next_observed_time": "SELECT ts, lead(ts) OVER (ORDER BY ts) AS next_ts FROM (SELECT DISTINCT ts FROM events)",
+    "spread_lookup": """
+        WITH coded AS (
+            SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'N' THEN '' WHEN l_linenumber < 7 THEN CAST(l_partkey AS VARCHAR) END AS code
+            FROM lineitem),
+        parts AS (
+            SELECT CAST(p_partkey AS VARCHAR) AS code, p_name, p_brand FROM part UNION ALL SELECT '', min(p_name), max(p_brand) FROM part)
+        SELECT l_orderkey, l_linenumber, c.code, p_name, p_brand FROM coded c LEFT JOIN parts p ON c.code = p.code""",
     "hot_running_sum": f"""
         SELECT event_id, kind, cents, CAST(count(*) {_TYPED} AS BIGINT) AS nth, CAST(sum(cents) {_TYPED} AS BIGINT) AS total_cents,
                last_value(noted IGNORE NULLS) {_TYPED} AS last_noted

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from termloom.functions import status
 from termloom.functions.terms import shift_month, term_code
 from termloom.operators import calendar as cal
 from termloom.operators import collapse, curriculum, events, history, output, segments
-from termloom.operators.lookup import keep_keys, lookup_equals, override_code
+from termloom.operators.lookup import keep_keys, lookup_equals, override_code, spread_left_join
 from termloom.plans import student_history as plan
 from termloom.plans.student_history import student_term_history
 from termloom.sources import Sources
@@ -77,8 +78,12 @@ class Relations:
     def split(self) -> tuple[DataFrame, DataFrame]:
         return curriculum.split_by_codes(self.term_majors(), "mmd_degr_cde", self.cfg.certificate_degrees)
 
+    @functools.cached_property
+    def sides(self) -> plan.Lookups:
+        return plan.lookups(self.sources, self.cfg)
+
     def facts(self) -> DataFrame:
-        return plan.term_facts(self.sources, self.cfg)
+        return plan.term_facts(self.sources, self.cfg, self.sides)
 
     def pieces(self) -> DataFrame:
         """The rows as the plan carries them: a piece may stand for many equal rows."""
@@ -88,7 +93,7 @@ class Relations:
         return plan.written_out(self.pieces())
 
     def mapped(self) -> DataFrame:
-        return plan.written_out(plan.mapped_rows(self.pieces(), self.sources, self.cfg))
+        return plan.written_out(plan.mapped_rows(self.pieces(), self.sides))
 
     def history(self) -> DataFrame:
         return plan.written_out(plan.history_rows(self.sources, self.cfg))
@@ -192,12 +197,13 @@ def degree_split(r: Relations) -> DataFrame:
 
 def layout(r: Relations) -> DataFrame:
     """The plan's own output rows, without the follow-up rows."""
-    rows = plan.output_rows(plan.history_rows(r.sources, r.cfg), r.sources.external_ids, r.cfg, sort=False)
-    return rows.where(F.col("sort") == 1)
+    rows = plan.own_rows(plan.history_rows(r.sources, r.cfg).select(*plan.KEPT), r.cfg)
+    return plan.output_rows(rows, r.sources.external_ids, r.cfg, sort=False)
 
 
 def follow_up_rows(r: Relations) -> DataFrame:
-    return plan.follow_ups(r.derived(), r.cfg).select("id_num", "term_code_eff", "stst_code", "sort")
+    rows = r.derived().select("id_num", "term_code", "row_count", "stst_code")
+    return plan.follow_ups(rows, plan.observed_terms(rows, r.sides), r.cfg).drop("term_code", "row_count")
 
 
 def daily_fill_forward(r: Relations) -> DataFrame:
@@ -246,6 +252,18 @@ def shipment_intervals(r: Relations) -> DataFrame:
     return cal.extend_intervals(lines, "ship_day", "until", ("l_orderkey", "l_linenumber"), LAST_DAY, large=True)
 
 
+def spread_lookup(r: Relations) -> DataFrame:
+    """Part data of order lines by a code that is empty on half of the lines and missing on some."""
+    code = F.when(F.col("l_returnflag") == "N", F.lit("")).when(F.col("l_linenumber") < 7, F.col("l_partkey").cast("string"))
+    lines = r.table("lineitem").select("l_orderkey", "l_linenumber", code.alias("code"))
+    parts = r.table("part").select(F.col("p_partkey").cast("string").alias("code"), "p_name", "p_brand")
+    return spread_left_join(lines, parts.unionByName(empty_part(r)), "code", ("l_orderkey", "l_linenumber"))
+
+
+def empty_part(r: Relations) -> DataFrame:
+    return r.table("part").agg(F.lit("").alias("code"), F.min("p_name").alias("p_name"), F.max("p_brand").alias("p_brand"))
+
+
 def typed_events(r: Relations) -> DataFrame:
     """Events by type: a handful of keys, so each one holds a large part of all rows."""
     cents = F.floor(F.col("value") * 100).cast("long")
@@ -332,6 +350,7 @@ QUERIES: dict[str, Callable[[Relations], DataFrame]] = {
     "keyed_interval_join": keyed_interval_join,
     "shipment_intervals": shipment_intervals,
     "next_observed_time": lambda r: output.next_in_domain(r.table("events"), "ts", "next_ts", large=True),
+    "spread_lookup": spread_lookup,
     "hot_running_sum": hot_running_sum,
     "hot_fill_forward": hot_fill_forward,
     "hot_marker_groups": hot_marker_groups,

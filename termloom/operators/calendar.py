@@ -53,11 +53,14 @@ def term_calendar(year_terms: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
+def code_table(calendar: DataFrame) -> DataFrame:
+    """Term code and begin date of each academic year and term."""
+    return calendar.select("yr_cde", "trm_cde", term_code("trm_begin_dte").alias("term_code"), "trm_begin_dte")
+
+
 def term_codes(calendar: DataFrame) -> DataFrame:
     """Lookup from academic year and term to term code and begin date."""
-    return lookup_side(
-        calendar.select("yr_cde", "trm_cde", term_code("trm_begin_dte").alias("term_code"), "trm_begin_dte")
-    )
+    return lookup_side(code_table(calendar))
 
 
 def attach_term(df: DataFrame, codes: DataFrame) -> DataFrame:
@@ -69,19 +72,21 @@ def month_number(date: str | Column) -> Column:
     return F.year(date) * 12 + F.month(date)
 
 
-def term_months(calendar: DataFrame, begin: str = "trm_begin_dte", end: str = "extend_trm_end_dte") -> DataFrame:
-    """Lookup with one row per calendar month that an interval touches: month, both bounds, term code."""
-    closed = calendar.where(F.col(end) >= F.col(begin))
-    return lookup_side(
-        closed.select(
-            F.explode(F.sequence(month_number(begin), month_number(end))).alias("month"),
-            F.col(begin).alias("first_day"),
-            F.col(end).alias("last_day"),
-            term_code(begin).alias("term_code"),
-        )
+def month_table(calendar: DataFrame, begin: str = "trm_begin_dte", end: str = "extend_trm_end_dte") -> DataFrame:
+    """One row per calendar month that an interval touches: month, both bounds, term code."""
+    return calendar.where(F.col(end) >= F.col(begin)).select(
+        F.explode(F.sequence(month_number(begin), month_number(end))).alias("month"),
+        F.col(begin).alias("first_day"),
+        F.col(end).alias("last_day"),
+        term_code(begin).alias("term_code"),
     )
 
 
+def term_months(calendar: DataFrame, begin: str = "trm_begin_dte", end: str = "extend_trm_end_dte") -> DataFrame:
+    """Lookup with one row per calendar month that an interval touches."""
+    return lookup_side(month_table(calendar, begin, end))
+
+
 def interval_lookup(df: DataFrame, months: DataFrame, on: str, name: str = "term_code") -> DataFrame:
     """Left join each row to the term its date falls into; ``months`` comes from :func:`term_months`.
 

@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Bytes that a joined text may have; a cell of a table cannot hold 2 GB.
+MOST_TEXT = 1 << 30
+
 
 def collapse(
     df: DataFrame,
@@ -14,6 +17,7 @@ def collapse(
     lists: Mapping[str, str],
     maxima: Mapping[str, str] | None = None,
     separator: str = ";",
+    most: int = MOST_TEXT,
 ) -> DataFrame:
     """Join the values of each ``lists`` column per key, sorted and with repeats, and take maxima.
 
@@ -21,7 +25,8 @@ def collapse(
     Repeats are counted per value before anything is gathered, so a group with very many rows is
     reduced on the map side and reaches its task as one row per different value. The joined text still
     has every repeat, so it grows with the rows of its key; where only the presence of a value matters,
-    use :func:`flag_any`, as the conversion does.
+    use :func:`flag_any`, as the conversion does. A run of equal values of more than ``most`` bytes stops the job
+    and says so, instead of running a task out of memory.
     """
     maxima = maxima or {}
     values = F.array(
@@ -33,10 +38,13 @@ def collapse(
         .agg(F.count("*").alias("_n"), *[F.max(column).alias(column) for column in maxima])
     )
     quoted = separator.replace("\\", "\\\\").replace("'", "\\'")
-    run = f"concat(_value, repeat(concat('{quoted}', _value), cast(_n - 1 as int)))"
+    # The length of a run of equal values is known before it is written out.
+    size = f"_n * (octet_length(_value) + {len(separator.encode())})"
+    failed = f"raise_error(concat('joined text of more than {most} bytes, at a value that occurs ', _n, ' times'))"
+    run = f"case when {size} > {most} then {failed} else concat(_value, repeat(concat('{quoted}', _value), cast(_n - 1 as int))) end"
+    counted = counted.withColumn("_run", F.expr(run))
     joined = [
-        F.expr(f"listagg(case when _name = '{out}' then {run} end, '{quoted}') within group (order by _value)")
-        .alias(out)
+        F.expr(f"listagg(case when _name = '{out}' then _run end, '{quoted}') within group (order by _value)").alias(out)
         for out in lists.values()
     ]
     return counted.groupBy(*keys).agg(*joined, *[F.max(column).alias(out) for column, out in maxima.items()])

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.config import Config
 from termloom.functions import status
-from termloom.operators.lookup import lookup_side
+from termloom.operators.lookup import fits, lookup_side, one_row_per_key, spread_left_join
 
 SLOT_KEYS = ("id_num", "term_code")
 # What identifies one entry of a term; also the order in which entries take slots.
@@ -113,24 +114,38 @@ def two_slots(entries: DataFrame) -> DataFrame:
     )
 
 
-def map_codes(df: DataFrame, full_map: DataFrame, degree_map: DataFrame) -> DataFrame:
+class CodeMap(NamedTuple):
+    """A map with one row per key, and whether it is sent to every executor."""
+
+    rows: DataFrame
+    small: bool
+
+
+def code_map(df: DataFrame, key: str, rows: int) -> CodeMap:
+    """``rows`` is the map's number of rows. A key that repeats stops the run."""
+    small = fits(df, rows)
+    side = one_row_per_key(df, key)
+    return CodeMap(F.broadcast(side) if small else side, small)
+
+
+def map_codes(df: DataFrame, full_map: CodeMap, degree_map: CodeMap) -> DataFrame:
     """Target codes of the two degree slots.
 
     Active students are mapped by degree, major and concentration together; others by degree
-    alone, keeping the raw major. Needs ``is_active`` and ``has_major`` as booleans.
+    alone, keeping the raw major. Needs ``is_active`` and ``has_major`` as booleans. Terms without a
+    slot have an empty key: against a large map, these rows are spread.
     """
-    full_map = lookup_side(full_map, unique="map_code")
-    degree_map = lookup_side(degree_map, unique="degree_code")
     for n in (1, 2):
-        full = full_map.select(
+        full = full_map.rows.select(
             F.col("map_code").alias(f"map_key_{n}"),
             *[F.col(c).alias(f"_full_{c}_{n}") for c in ("college", "degree", "major", "concentration", "program")],
         )
-        plain = degree_map.select(
+        plain = degree_map.rows.select(
             F.col("degree_code").alias(f"degree_{n}"),
             *[F.col(c).alias(f"_plain_{c}_{n}") for c in ("college", "degree", "program")],
         )
-        df = df.join(full, f"map_key_{n}", "left").join(plain, f"degree_{n}", "left")
+        for side, small, key in ((full, full_map.small, f"map_key_{n}"), (plain, degree_map.small, f"degree_{n}")):
+            df = df.join(side, key, "left") if small else spread_left_join(df, side, key, SLOT_KEYS, hot=[""])
 
     active, has_major = F.col("is_active"), F.col("has_major")
     two_degrees = F.col("degree_1") != F.col("degree_2")

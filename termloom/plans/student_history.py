@@ -8,7 +8,8 @@ How the data moves:
 2. Degree slots and declared loads arrive with the same partitioning and join without moving it.
 3. One shuffle by student; a student now has at most one row per term, and every window of the plan
    (enrolment bounds, neighbours, groups, fill) runs on that partitioning and one sort order.
-4. The result is stored once; next terms, follow-up rows, external ids and the final sort read it.
+4. Next terms branch off that same shuffle; follow-up rows, external ids and the final sort follow. Nothing is
+   stored and nothing but the sizes of the small tables is read until the result is used.
 """
 
 from __future__ import annotations
@@ -22,9 +23,11 @@ from termloom.config import Config
 from termloom.functions import courses as course_rules
 from termloom.functions import status
 from termloom.functions.terms import shift_month, term_code
-from termloom.operators.calendar import attach_term, interval_lookup, term_calendar, term_codes, term_months
+from termloom.operators.calendar import attach_term, code_table, interval_lookup, month_table, term_calendar
 from termloom.operators.curriculum import (
     SLOT_KEYS,
+    CodeMap,
+    code_map,
     default_first_row,
     map_codes,
     split_by_codes,
@@ -33,9 +36,8 @@ from termloom.operators.curriculum import (
 )
 from termloom.operators.events import CURRICULUM, MILESTONES, unpivot_dates
 from termloom.operators.history import RUNNING, WHOLE, fill_forward, in_order
-from termloom.operators.lookup import is_small, keep_keys, lookup_side, override_code
+from termloom.operators.lookup import fits, keep_keys, lookup_side, override_code, row_counts
 from termloom.operators.output import emit_follow_up, next_in_domain, project_layout
-from termloom.plans.checkpoints import checkpointed
 from termloom.plans.layout import LAYOUT
 from termloom.sources import Sources
 
@@ -148,8 +150,11 @@ def milestone_rows(milestones: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def degree_slots(milestones: DataFrame, majors: DataFrame, cfg: Config) -> DataFrame:
-    """First two non-certificate degrees of each student and term. Events without a term join nothing."""
+def degree_slots(milestones: DataFrame, degrees: DataFrame, cfg: Config) -> DataFrame:
+    """First two non-certificate degrees of each student and term. Events without a term join nothing.
+
+    ``degrees`` looks up the degree that a major leads to.
+    """
     entries = unpivot_slots(
         milestones.where(F.col("term_code").isNotNull()).select(
             *SLOT_KEYS,
@@ -162,10 +167,7 @@ def degree_slots(milestones: DataFrame, majors: DataFrame, cfg: Config) -> DataF
         (("major_1", "major_1"), ("major_2", "major_2")),
         ("major_cde", "raw"),
     ).drop("raw")
-    # An override can make rows equal that were not; each would take a slot.
-    degree = override_code(majors.select("major_cde", "degr_cde"), "major_cde", "degr_cde", dict(cfg.major_degree_overrides))
-    degree = lookup_side(degree.distinct())
-    known = entries.join(degree.withColumnRenamed("degr_cde", "mmd_degr_cde"), "major_cde", "left").select(
+    known = entries.join(degrees.withColumnRenamed("degr_cde", "mmd_degr_cde"), "major_cde", "left").select(
         *SLOT_KEYS, F.trim("major_cde").alias("major_1"), "mmd_degr_cde", "degree_history_degr_cde", "concentration_1"
     )
     return two_slots(split_by_codes(known, "mmd_degr_cde", cfg.certificate_degrees)[0])
@@ -294,33 +296,82 @@ def cohort_rows(cohort: DataFrame) -> DataFrame:
     )
 
 
-def within_small_cohort(sources: Sources) -> Sources:
+@dataclasses.dataclass(frozen=True)
+class Lookups:
+    """The small tables of a conversion, marked by their counted sizes."""
+
+    codes: DataFrame
+    months: DataFrame
+    degrees: DataFrame
+    maps: tuple[CodeMap, CodeMap]
+    terms: int
+    small_cohort: bool
+
+
+def lookups(sources: Sources, cfg: Config) -> Lookups:
+    """Count all small tables at once, before anything is planned on them; a table's distinct rows count as all its rows."""
+    calendar = term_calendar(sources.year_terms, cfg)
+    overridden = override_code(
+        sources.majors.select("major_cde", "degr_cde"), "major_cde", "degr_cde", dict(cfg.major_degree_overrides)
+    )
+    # An override can make rows equal that were not; each would take a slot.
+    tables = {"codes": code_table(calendar), "months": month_table(calendar), "degrees": overridden.distinct()}
+    counted = {"codes": sources.year_terms, "months": tables["months"], "degrees": sources.majors, "cohort": sources.cohort}
+    rows = row_counts(counted | {"code_map": sources.code_map, "degree_map": sources.degree_map})
+    sides = {name: lookup_side(df, rows=rows[name]) for name, df in tables.items()}
+    return Lookups(
+        **sides,
+        maps=(
+            code_map(sources.code_map, "map_code", rows["code_map"]),
+            code_map(sources.degree_map, "degree_code", rows["degree_map"]),
+        ),
+        terms=rows["codes"],
+        small_cohort=fits(sources.cohort, rows["cohort"]),
+    )
+
+
+def within_small_cohort(sources: Sources, small: bool) -> Sources:
     """Drop the rows of other students while scanning, if the cohort is small enough to send everywhere."""
-    if not is_small(sources.cohort):
+    if not small:
         return sources
     cohort = F.broadcast(sources.cohort)
     tables = ("courses", "candidacy", "degrees")
     return dataclasses.replace(sources, **{t: keep_keys(getattr(sources, t), cohort, "id_num") for t in tables})
 
 
-def term_facts(sources: Sources, cfg: Config) -> DataFrame:
-    """Steps 1-3: the facts of every (student, term) in which an event falls, before any rule."""
-    sources = within_small_cohort(sources)
-    calendar = term_calendar(sources.year_terms, cfg)
-    codes, months = term_codes(calendar), term_months(calendar)
-    milestones = dated_milestones(sources.degrees, months)
+def student_terms(sources: Sources, sides: Lookups, cfg: Config) -> DataFrame:
+    """Steps 1-3: the facts of every (student, term) in which an event falls, one row each."""
+    sources = within_small_cohort(sources, sides.small_cohort)
+    milestones = dated_milestones(sources.degrees, sides.months)
     rows = (
-        course_rows(sources.courses, codes, cfg)
+        course_rows(sources.courses, sides.codes, cfg)
         .unionByName(milestone_rows(milestones, cfg), allowMissingColumns=True)
         .unionByName(cohort_rows(sources.cohort), allowMissingColumns=True)
         .where("id_num is not null")
     )
     terms = (
         collapsed_terms(rows)
-        .join(degree_slots(milestones, sources.majors, cfg), [*SLOT_KEYS], "left")
-        .join(declared_loads(sources.candidacy, codes, cfg), [*SLOT_KEYS], "left")
+        .join(degree_slots(milestones, sides.degrees, cfg), [*SLOT_KEYS], "left")
+        .join(declared_loads(sources.candidacy, sides.codes, cfg), [*SLOT_KEYS], "left")
     )
-    return repeated_rows(with_enrolment_events(terms, months), cfg)
+    return with_enrolment_events(terms, sides.months)
+
+
+def term_facts(sources: Sources, cfg: Config, sides: Lookups | None = None) -> DataFrame:
+    """The facts of every row before any rule: a term repeats with its candidacy rows."""
+    return repeated_rows(student_terms(sources, sides or lookups(sources, cfg), cfg), cfg)
+
+
+def observed_terms(terms: DataFrame, sides: Lookups) -> DataFrame:
+    """Lookup from each term in which an event falls to the next one.
+
+    It branches off above the shuffle by student. The mark reads every column, so that this branch asks the shuffle
+    for the same columns as the rows do and Spark runs it once for both. There are no more terms than the
+    calendar has, and one row for none.
+    """
+    marked = terms.groupBy("term_code").agg(F.max(F.xxhash64(*terms.columns)).alias("_mark"))
+    domain = marked.where(F.col("_mark").isNotNull()).select("term_code")
+    return lookup_side(next_in_domain(domain, "term_code", "next_term"), rows=sides.terms + 1)
 
 
 def derived_codes(facts: DataFrame, cfg: Config) -> DataFrame:
@@ -378,25 +429,33 @@ def derived_codes(facts: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def mapped_rows(derived: DataFrame, sources: Sources, cfg: Config) -> DataFrame:
+def mapped_rows(derived: DataFrame, sides: Lookups) -> DataFrame:
     """Target codes of the two degree slots; a term without facts has no major."""
     enrolment = F.col(name_of(status.START)) | F.col(name_of(status.LAST))
     has_major = F.coalesce(
         F.col("term_code").isNotNull() & (F.col("has_major") | enrolment), F.lit(False)
     )
-    return map_codes(derived.withColumn("has_major", has_major), sources.code_map, sources.degree_map)
+    return map_codes(derived.withColumn("has_major", has_major), *sides.maps)
 
 
-def history_rows(sources: Sources, cfg: Config) -> DataFrame:
-    """Everything up to the filled codes: the rows the output is made of."""
-    derived = derived_codes(term_facts(sources, cfg), cfg)
-    mapped = default_first_row(mapped_rows(derived, sources, cfg), cfg)
+def coded_rows(facts: DataFrame, sides: Lookups, cfg: Config) -> DataFrame:
+    """Everything from the facts up to the filled codes: the rows the output is made of."""
+    mapped = default_first_row(mapped_rows(derived_codes(facts, cfg), sides), cfg)
     return fill_forward(mapped, "id_num", ROW_ORDER, FILLED, cfg.fill_depth)
 
 
-def follow_ups(history: DataFrame, cfg: Config) -> DataFrame:
+def history_rows(sources: Sources, cfg: Config) -> DataFrame:
+    sides = lookups(sources, cfg)
+    return coded_rows(term_facts(sources, cfg, sides), sides, cfg)
+
+
+def own_rows(history: DataFrame, cfg: Config) -> DataFrame:
+    """The rows themselves (sort 1) with the output's term."""
+    return history.withColumns({"sort": F.lit(1), "term_code_eff": shift_month("term_code", cfg.month_shift)})
+
+
+def follow_ups(history: DataFrame, following: DataFrame, cfg: Config) -> DataFrame:
     """The rows (sort 1) and the follow-up rows of one-term students (sort 2), with the output's term and status."""
-    following = lookup_side(next_in_domain(history, "term_code", "next_term"))
     rows = emit_follow_up(history.join(following, "term_code", "left"), F.col("row_count") == 1, "sort")
     repeat = F.col("sort") == 2
     term = F.when(repeat, F.coalesce("next_term", "term_code")).otherwise(F.col("term_code"))
@@ -409,10 +468,8 @@ def follow_ups(history: DataFrame, cfg: Config) -> DataFrame:
     ).drop("next_term")
 
 
-def output_rows(history: DataFrame, external_ids: DataFrame, cfg: Config, sort: bool = True) -> DataFrame:
-    """Follow-up rows of one-term students, external ids, copies, order and layout."""
-    rows = follow_ups(history, cfg)
-
+def output_rows(rows: DataFrame, external_ids: DataFrame, cfg: Config, sort: bool = True) -> DataFrame:
+    """External ids, copies, order and layout."""
     # An id listed several times repeats its rows: by weight, so that a very frequent one stays small.
     number = F.expr("try_cast(external_id as bigint)").alias("id_num")
     ids = external_ids.groupBy(number, "pidm").agg(F.count("*").alias("times")).where("id_num is not null")
@@ -447,7 +504,12 @@ def output_rows(history: DataFrame, external_ids: DataFrame, cfg: Config, sort:
 
 
 def student_term_history(sources: Sources, cfg: Config | None = None, sort: bool = True) -> DataFrame:
-    """The whole conversion: one row per student and term in the target layout, sorted by id and term."""
+    """The whole conversion: one row per student and term in the target layout, sorted by id and term.
+
+    Only the sizes of the small tables are read before the result is used.
+    """
     cfg = cfg or Config()
-    history = checkpointed(history_rows(sources, cfg).select(*KEPT))
-    return output_rows(history, sources.external_ids, cfg, sort)
+    sides = lookups(sources, cfg)
+    terms = student_terms(sources, sides, cfg)
+    history = coded_rows(repeated_rows(terms, cfg), sides, cfg).select(*KEPT)
+    return output_rows(follow_ups(history, observed_terms(terms, sides), cfg), sources.external_ids, cfg, sort)

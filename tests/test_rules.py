@@ -468,10 +468,15 @@ def test_first_row_defaults_and_certificates(mixed):
 
 
 def test_repeated_map_keys_fail(spark):
-    with pytest.raises(ValueError, match="map_code"):
+    with pytest.raises(Exception, match="map_code occurs more than once in a lookup table, for example BAM1"):
         converted(spark, courses=two_terms(1), cohort=[(1,)], code_map=[*FULL_MAP, FULL_MAP[0]])
 
 
+def test_a_map_without_a_key_may_repeat(spark):
+    keyless = (None, "U", "X", "X", None, "X")
+    assert converted(spark, courses=two_terms(1), cohort=[(1,)], code_map=[*FULL_MAP, keyless, keyless])
+
+
 # ---- output -------------------------------------------------------------------------------------
 
 
@@ -574,6 +579,48 @@ def test_lookup_equals(spark):
     assert sorted((r.k, r.v or 0, r.f) for r in lookup.lookup_equals(rows, side, "k", "w", "v", "f").collect()) == [(1, 10, "Y"), (1, 11, "N"), (2, 10, "N"), (3, 0, "N")]
 
 
+def test_a_lookup_of_one_value_fails_on_a_second_row(spark):
+    rows = spark.createDataFrame([(1, 10), (2, 10)], "k int, v int")
+    side = spark.createDataFrame([(1, 10), (1, 10), (None, 3), (None, 4)], "k int, w int")
+    found = lookup.lookup_equals(rows, side, "k", "w", "v", "f")  # fails when it runs, not before
+    with pytest.raises(Exception, match="k occurs more than once in a lookup table, for example 1"):
+        found.collect()
+    assert lookup.lookup_equals(rows, side.where("k is null or w is null"), "k", "w", "v", "f").count() == 2
+
+
+def test_row_counts(spark):
+    assert lookup.row_counts({"a": spark.range(7), "b": spark.range(0), "c": spark.range(3)}) == {"a": 7, "b": 0, "c": 3}
+
+
+@pytest.mark.parametrize("hot", [None, [""], []])
+def test_hot_and_empty_keys_are_spread(spark, hot):
+    """Half of the rows have an empty key and some have none; both are spread, with the rows of a plain join."""
+    rows = spark.range(8000).selectExpr("id", "case when id % 2 = 0 then '' when id % 10 = 1 then null else cast(id % 700 as string) end as code")
+    side = spark.range(600).selectExpr("cast(id as string) as code", "id as n").union(spark.createDataFrame([("", -1), (None, -2)], "code string, n long"))
+    got = lookup.spread_left_join(rows, side, "code", ["id"], hot)
+    want = rows.join(side, "code", "left").select("id", "code", "n")
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan_text = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan_text and "Broadcast" not in plan_text
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset(coalesce)
+    if hot != []:
+        assert max(sizes) < 2 * 8000 / 8
+
+
+def test_a_value_repeated_very_often_is_counted_first(spark):
+    rows = spark.range(1_000_000).selectExpr("1 as k", "case when id = 7 then 'b' else 'a' end as v")
+    text = collapse.collapse(rows, ["k"], {"v": "t"}).first().t
+    assert len(text) == 2 * 1_000_000 - 1 and text.endswith("a;b") and "b" not in text[:-1]
+    with pytest.raises(Exception, match="occurs 999999 times"):
+        collapse.collapse(rows, ["k"], {"v": "t"}, most=1000).collect()
+
+
 def test_separator_with_a_quote(spark):
     rows = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     from termloom.operators.collapse import collapse
