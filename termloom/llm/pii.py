@@ -12,6 +12,7 @@ labelled spans of texts the trees have not seen is the threshold. The trees beco
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,24 +46,65 @@ CUES = (
     r"(?i)(?:tel|phone|call|fax|mobile|cell)",
 )
 CONTEXT = 24
+#: Items of a fold between two copies of its result; base spans of a text that are compared one by one; code points of a text's
+#: chunks, and of a text that is cut into them.
+BLOCK_ITEMS, FEW, CHUNK, LONG = 256, 8, 1024, 8192
 FEATURES = ("kind", "digits", "checked", "cue", "before", "after")
 ROUNDS, DEPTH, RATE = 16, 2, 0.5
 PRECISION = 0.95
 
 
+def folded(items: Column, begin: Column, made: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """Array of what a running position makes of each item; `step`: (position, item) -> (next position, array to append).
+
+    The items are taken in blocks, so appending copies a block and not all that was made before; `made` is the result's type.
+    """
+    none = F.array().cast(made)
+
+    def state(at: Column, found: Column) -> Column:
+        return F.struct(at.cast("int").alias("at"), found.alias("found"))
+
+    def one(now: Column, item: Column) -> Column:
+        at, new = step(now["at"], item)
+        return state(at, F.concat(now["found"], new))
+
+    def fold(own: Column) -> Column:
+        def block(now: Column, k: Column) -> Column:
+            inner = F.aggregate(F.slice(own, k * BLOCK_ITEMS + 1, BLOCK_ITEMS), state(now["at"], none), one)
+            return F.aggregate(F.array(inner), now, lambda old, new: state(new["at"], F.concat(old["found"], new["found"])))
+
+        blocks = F.sequence(F.lit(0), F.floor((F.size(own) - 1) / BLOCK_ITEMS).cast("int"))
+        short = F.aggregate(own, state(begin, none), one, lambda x: x["found"])
+        long = F.aggregate(blocks, state(begin, none), block, lambda x: x["found"])
+        return F.when(F.size(own) <= BLOCK_ITEMS, short).otherwise(long)
+
+    # A lambda binds the items, and above a block's result, to a name: they are worked out once.
+    return F.coalesce(F.get(F.transform(F.array(items), fold), F.lit(0)), none)
+
+
 def located(text: Column, pattern: str, gate: str) -> Column:
     """Array of (start, end, match) of the leftmost matches that do not overlap, in code points, end exclusive."""
     whole = F.lit(r"\G([\s\S]*?)(" + pattern + ")")  # \G: one pass, also where no further match follows
     pieces = F.when(text.rlike(gate), F.arrays_zip(F.regexp_extract_all(text, whole, F.lit(1)).alias("gap"), F.regexp_extract_all(text, whole, F.lit(2)).alias("match")))
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
-    begin = F.struct(F.lit(0).alias("at"), none.alias("found"))
 
-    def step(state: Column, piece: Column) -> Column:
-        start = state["at"] + F.length(piece["gap"])
+    def step(at: Column, piece: Column) -> tuple[Column, Column]:
+        start = at + F.length(piece["gap"])
         end = start + F.length(piece["match"])
-        return F.struct(end.alias("at"), F.array_append(state["found"], F.struct(start.alias("start"), end.alias("end"), piece["match"].alias("match"))).alias("found"))
+        return end, F.array(F.struct(start.alias("start"), end.alias("end"), piece["match"].alias("match")))
+
+    return folded(pieces, F.lit(0), "array<struct<start:int,end:int,match:string>>", step)
 
-    return F.coalesce(F.aggregate(pieces, begin, step, lambda state: state["found"]), none)
+
+def chunks_of(text: Column) -> Column:
+    """A long text in pieces of CHUNK code points, so that a part of it is found without counting from its start."""
+    return F.when(F.length(text) > LONG, F.regexp_extract_all(text, F.lit(f"[\\s\\S]{{1,{CHUNK}}}"), F.lit(0)))
+
+
+def part_of(text: Column, chunks: Column, start: Column, length: Column) -> Column:
+    """`length` code points of the text from `start` (from 0)."""
+    first = F.floor(start / CHUNK).cast("int")
+    near = F.array_join(F.slice(chunks, first + 1, F.floor((start + length) / CHUNK).cast("int") - first + 1), "")
+    return F.when(chunks.isNull(), F.substring(text, start + 1, length)).otherwise(F.substring(near, start - first * CHUNK + 1, length))
 
 
 def digits_of(match: Column) -> Column:
@@ -98,55 +140,95 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*map(of, range(len(KINDS)))))
 
 
+def kinds_of(base: Column) -> Column:
+    """The base spans of each kind: ascending, and none overlaps the next."""
+    def of(kind: int) -> Column:
+        return F.filter(base, lambda b: b["kind"] == kind)
+
+    return F.array(*map(of, range(len(KINDS))))
+
+
+def below(spans: Column, side: str, value: Column, equal: bool) -> Column:
+    """How many of the ascending spans have their start or end below the value (or equal to it), by binary search."""
+    top = F.floor(F.log2(F.size(spans))).cast("int")
+
+    def step(at: Column, k: Column) -> Column:
+        further = at + F.call_function("shiftleft", F.lit(1), top - k)
+        found = F.get(spans, further - 1)[side]
+        return F.when((further <= F.size(spans)) & ((found <= value) if equal else (found < value)), further).otherwise(at)
+
+    return F.when(F.size(spans) == 0, 0).otherwise(F.aggregate(F.sequence(F.lit(0), top), F.lit(0), step))
+
+
+def hull(spans: Column, x: Column) -> tuple[Column, Column]:
+    """Start of the first and end of the last of one kind's spans that a candidate touches; null if it touches none."""
+    last = below(spans, "start", x["end"], False)
+    first = below(spans, "end", x["start"], True) + 1
+    touched = first <= last
+    return F.when(touched, F.get(spans, first - 1)["start"]), F.when(touched, F.get(spans, last - 1)["end"])
+
+
 def _char_class(char: Column) -> Column:
     return F.when(char.rlike(r"^[\p{L}\p{N}]"), 1).when(char.rlike(r"^\S"), 2).otherwise(0)
 
 
-def _features(text: Column, kind: int, x: Column, base: Column) -> list[Column]:
-    """The FEATURES of a candidate. What joins its parts is none, and context is that of the base span of its kind that it
-    touches, if any: a plus sign or a plain dot would tell base forms from loose ones."""
-    own = F.filter(base, lambda b: (b["kind"] == kind) & (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    start = F.least(x["start"], F.array_min(F.transform(own, lambda b: b["start"])))
-    end = F.greatest(x["end"], F.array_max(F.transform(own, lambda b: b["end"])))
-    match, digits = x["match"], F.length(digits_of(x["match"]))
-    octets = match.rlike(rf"^{OCTET}(?:\[?\.\]?{OCTET}){{3}}$")
-    checked = (
-        match.rlike(r"[A-Za-z]{2,}$") & ~(match.rlike(r"(?i)\x20at\x20") & match.rlike(r"\.[A-Za-z0-9-]+$")),  # 'at home.Then' is prose
-        octets,
-        F.when(digits.between(13, 19), luhn(digits_of(match))).otherwise(False),
-        ~match.rlike(r"^\(?(?:000|555)"),
-    )[kind]
-    before = F.substring(text, F.greatest(start - CONTEXT, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT)))
-    return [
-        F.lit(kind),
-        F.when(digits < 10, 0).when(digits == 10, 1).when(digits < 13, 2).when(digits < 16, 3).when(digits == 16, 4).otherwise(5),
-        checked.cast("int"),
-        before.rlike(CUES[kind]).cast("int"),
-        _char_class(F.substring(before, -1, 1)),
-        _char_class(F.substring(text, end + 1, F.lit(1))),
-    ]
-
-
-def candidates(text: Column, base: Column) -> Column:
-    """Array of (start, end, the FEATURES) of all generators' spans; base: the base spans of the text."""
-    def of(kind: int) -> Column:
-        def described(x: Column) -> Column:
-            values = [f.cast("int").alias(name) for f, name in zip(_features(text, kind, x, base), FEATURES, strict=True)]
-            return F.struct(x["start"].alias("start"), x["end"].alias("end"), *values)
+def touches(base: Column, kinds: Column, x: Column) -> Column:
+    """Whether a candidate touches a base span of any kind."""
+    few = F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+    many = F.exists(kinds, lambda own: F.coalesce(F.get(own, below(own, "start", x["end"], False) - 1)["end"] > x["start"], F.lit(False)))
+    return F.when(F.size(base) <= FEW, few).otherwise(many)
 
-        return F.transform(located(text, LOOSE[kind], LOOSE_GATES[kind]), described)
 
-    return F.concat(*map(of, range(len(KINDS))))
+def candidates(text: Column, chunks: Column, base: Column, kinds: Column) -> Column:
+    """Array of (start, end, the FEATURES, touched, label) of all generators' spans.
 
+    What joins a candidate's parts is no feature, and context is that of the base spans of its kind that it touches, if any: a
+    plus sign or a plain dot would tell base forms from loose ones. The label is 1 if it touches a base span of its kind, 0 if
+    it touches only one of another kind or fails its check, else null.
+    """
+    def described(kind: int, x: Column, own_start: Column, own_end: Column) -> Column:
+        start, end = F.least(x["start"], own_start), F.greatest(x["end"], own_end)
+        match, digits = x["match"], F.length(digits_of(x["match"]))
+        octets = match.rlike(rf"^{OCTET}(?:\[?\.\]?{OCTET}){{3}}$")
+        checked = (
+            match.rlike(r"[A-Za-z]{2,}$") & ~(match.rlike(r"(?i)\x20at\x20") & match.rlike(r"\.[A-Za-z0-9-]+$")),  # 'at home.Then' is prose
+            octets,
+            F.when(digits.between(13, 19), luhn(digits_of(match))).otherwise(False),
+            ~match.rlike(r"^\(?(?:000|555)"),
+        )[kind]
+        before = part_of(text, chunks, F.greatest(start - CONTEXT, F.lit(0)), F.least(start, F.lit(CONTEXT)))
+        touched = touches(base, kinds, x)
+        values = [
+            F.lit(kind),
+            F.when(digits < 10, 0).when(digits == 10, 1).when(digits < 13, 2).when(digits < 16, 3).when(digits == 16, 4).otherwise(5),
+            checked.cast("int"),
+            before.rlike(CUES[kind]).cast("int"),
+            _char_class(F.substring(before, -1, 1)),
+            _char_class(part_of(text, chunks, end, F.lit(1))),
+        ]
+        named = [f.cast("int").alias(name) for f, name in zip(values, FEATURES, strict=True)]
+        label = F.when(own_start.isNotNull(), 1).when(touched | ~F.coalesce(checked, F.lit(False)), 0)
+        return F.struct(x["start"].alias("start"), x["end"].alias("end"), *named, touched.alias("touched"), label.alias("label"))
 
-def weak_label(spans: Column, x: Column) -> Column:
-    """1: touches a base span of its kind; 0: only one of another kind, or fails its check; else null."""
-    own = F.filter(spans, lambda b: b["kind"] == x["kind"])
-    return F.when(touches(own, x), 1).when(touches(spans, x) | (x["checked"] == 0), 0)
+    def of(kind: int) -> Column:
+        own = F.get(kinds, F.lit(kind))
 
+        def placed(x: Column) -> Column:
+            start, end = hull(own, x)
+            return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"), start.alias("own_start"), end.alias("own_end"))
 
-def touches(spans: Column, x: Column) -> Column:
-    return F.exists(spans, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+        found = F.transform(located(text, LOOSE[kind], LOOSE_GATES[kind]), placed)
+        return F.transform(found, lambda x: described(kind, x, x["own_start"], x["own_end"]))
+
+    return F.concat(*map(of, range(len(KINDS))))
+
+
+def with_candidates(docs: DataFrame, keep: list[Column], text_column: str) -> DataFrame:
+    """The columns `keep` with text, base and found (see `candidates`) of every row; a null text is an empty text."""
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    found = docs.select(*keep, text.alias("text"), chunks_of(text).alias("chunks"), base_spans(text).alias("base"))
+    found = found.withColumn("kinds", kinds_of(F.col("base")))
+    return found.withColumn("found", candidates(*map(F.col, ("text", "chunks", "base", "kinds"))))
 
 
 Tree = tuple  # (feature, limit, tree up to the limit, tree above it), or (value,)
@@ -219,11 +301,9 @@ def fit(docs: DataFrame, text_column: str = "text", precision: float = PRECISION
 
     A kind without a positive on the other half takes its threshold from all texts; without any, nothing of it is added.
     """
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    found = docs.select(text.alias("text"), base_spans(text).alias("base"))
-    found = found.select((F.xxhash64("text") % 2 == 0).alias("seen"), "base", candidates(F.col("text"), F.col("base")).alias("found"))
-    # outer: the filter that explode infers would be pushed down and count the base spans anew for each candidate
-    rows = found.select("seen", "base", F.explode_outer("found").alias("x")).select("seen", "x.*", weak_label(F.col("base"), F.col("x")).alias("label")).where("label is not null")
+    found = with_candidates(docs, [], text_column).select((F.xxhash64("text") % 2 == 0).alias("seen"), "found")
+    # outer: the filter that explode infers would be pushed down and find the candidates anew
+    rows = found.select("seen", F.explode_outer("found").alias("x")).select("seen", "x.*").where("label is not null")
     counted = rows.groupBy(*FEATURES).agg(*[F.sum(F.when(part, value).otherwise(0)).alias(name) for name, part, value in (
         ("n", F.col("seen"), 1), ("hits", F.col("seen"), F.col("label")), ("held_n", ~F.col("seen"), 1), ("held_hits", ~F.col("seen"), F.col("label")),
     )])
@@ -253,10 +333,8 @@ def with_spans(docs: DataFrame, model: Model, text_column: str = "text") -> Data
     Candidates that touch a base span add nothing and are left out; of added spans that overlap, all stay. A null text is an
     empty text. Rows stay one to one.
     """
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    found = docs.select(F.struct("*").alias("row"), text.alias("text"), base_spans(text).alias("base"))
-    found = found.select("row", "base", candidates(F.col("text"), F.col("base")).alias("found"))
-    added = F.filter("found", lambda x: model.accepts(x) & ~touches(F.col("base"), x))
+    found = with_candidates(docs, [F.struct(*docs.columns).alias("row")], text_column)
+    added = F.filter("found", lambda x: model.accepts(x) & ~x["touched"])
     added = F.transform(added, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
     return found.select("row", "base", F.array_sort(F.concat("base", added)).alias("spans"))
 
@@ -270,17 +348,22 @@ def as_text(spans: Column) -> Column:
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each run of overlapping spans replaced by the kind of the first, in brackets."""
     names = F.array(*[F.lit(f"[{x.upper()}]") for x in KINDS])
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, x: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, x["start"] - state["at"])
-        out = F.when(x["start"] < state["at"], state["out"]).otherwise(F.concat(state["out"], gap, F.get(names, x["kind"])))
-        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.coalesce(out, F.lit("")).alias("out"))
-
-    def finish(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
-
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, begin, step, finish))
+    none = F.array().cast("array<struct<at:int,start:int,kind:int>>")
+
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        run = F.array(F.struct(at.alias("at"), x["start"].alias("start"), x["kind"].alias("kind")))
+        return F.greatest(at, x["end"]), F.when(x["start"] < at, none).otherwise(run)
+
+    runs = folded(spans, F.lit(0), "array<struct<at:int,start:int,kind:int>>", step)
+    chunks = chunks_of(text)
+    # Folds of one item bind the chunks and runs to names, so that they are worked out once.
+    def joined(found: Column) -> Column:
+        gaps = F.transform(found["runs"], lambda x: F.concat(part_of(text, found["chunks"], x["at"], x["start"] - x["at"]), F.get(names, x["kind"])))
+        end = F.aggregate(spans, F.lit(0), lambda last, x: F.greatest(last, x["end"]))
+        return F.concat(F.array_join(gaps, ""), part_of(text, found["chunks"], end, F.length(text) - end))
+
+    bound = F.transform(F.array(F.struct(runs.alias("runs"), chunks.alias("chunks"))), joined)
+    return F.when(F.size(spans) == 0, text).otherwise(F.get(bound, F.lit(0)))
 
 
 def redact(docs: DataFrame) -> DataFrame:
