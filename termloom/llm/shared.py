@@ -37,7 +37,7 @@ def star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     side = both if large else both.where("v < u")
     least = side.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least"))
-    moved = side.join(least, "u")
+    moved = side.join(least.hint("merge"), "u")  # many small rounds: broadcasts would pass through the driver each time
     if large:
         out = moved.where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
     else:

@@ -183,21 +183,30 @@ def near_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     marked = stored(fingerprints(docs, id_column, text_column, width), "fingerprints")
     classes = marked.groupBy("fp").agg(F.min("id").alias("least_id"))
     roots = components(hamming_links(classes.select("fp"), radius), "classes")
-    rooted = classes.join(roots, classes.fp == roots.u, "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    rooted = classes.join(roots.hint("merge"), classes.fp == roots.u, "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return marked.join(rooted.join(named, "root").select("fp", "root", "component_id"), "fp").select("id", "fp", "root", "component_id")
+    found = rooted.join(named.hint("merge"), "root").select("fp", "root", "component_id")
+    return marked.join(found.hint("merge"), "fp").select("id", "fp", "root", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFrame:
-    """Keep one document of each class, the one with the least doc_id; of repeated rows of it, one. Columns stay.
+    """Keep one document of each class: the one with the least doc_id, of rows of that id the least fingerprint; of rows
+    that agree in both, one. Columns stay. A class whose ids are all null keeps one of its rows.
 
-    A class whose ids are all null keeps one of its rows.
+    Only rows whose id is null or repeated are told apart by their texts; all others are kept by their id alone.
     """
     classes = stored(near_classes(docs, width=width, radius=radius), "near")
-    keep = classes.groupBy("root").agg(F.min("id").alias("doc_id"))
-    named = docs.join(keep.where("doc_id is not null").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = classes.where("component_id is null").select("fp", "root").distinct()
+    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "fp")).alias("first")
+    chosen = stored(classes.groupBy("root").agg(first).select("first.id", "first.fp"), "chosen")
+    counts = classes.groupBy("id").agg(F.count("*").alias("n"))
+    several = stored(counts.where("n > 1 or id is null").select("id"), "several")
+    sole = chosen.join(several.hint("merge"), "id", "left_anti").where("id is not null").select(F.col("id").alias("doc_id"))
+    named = docs.join(sole, "doc_id", "left_semi")
+
     marks = F.pandas_udf(lambda texts: texts.map(lambda x: fingerprint(x, width)), "long")
-    rest = docs.where("doc_id is null").select(F.struct(*docs.columns).alias("row"), marks("text").alias("fp"))
-    rest = rest.join(nameless, "fp").dropDuplicates(["root"]).select("row.*")
+    rest = docs.join(several, docs.doc_id.eqNullSafe(several.id), "left_semi")
+    rest = rest.select(F.struct(*docs.columns).alias("row"), "doc_id", marks("text").alias("fp"))
+    wanted = chosen.select(F.col("id").alias("wanted_id"), F.col("fp").alias("wanted_fp"))
+    rest = rest.join(wanted, rest.doc_id.eqNullSafe(wanted.wanted_id) & (rest.fp == wanted.wanted_fp), "left_semi")
+    rest = rest.dropDuplicates(["doc_id", "fp"]).select("row.*")
     return named.select(*docs.columns).unionByName(rest)
