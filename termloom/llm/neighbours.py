@@ -2,14 +2,16 @@
 
 Centroids of a bounded sample sit in a nearest-neighbour graph that every task searches in memory. A vector joins the list
 of its nearest centroid and of each other centroid whose distance is within a ratio of that; a query reads the lists within
-its own, wider ratio, at most a fixed part of all lists: more lists of larger tables would otherwise be a smaller part, and
-neighbours be lost. An extra coordinate turns the largest inner product into the least distance. Equal vectors are one
+its own, wider ratio, at most a number that grows with the square root of the lists: a fixed number would lose neighbours as
+the table grows, a fixed part of the lists would make the work quadratic. The walk's beam is wider than what is read, at every
+size. An extra coordinate turns the largest inner product into the least distance. Equal vectors are one
 entry with its least ids, which loses no result: a query needs at most its count of neighbours plus itself of them. Lists
 over a fixed size are cut into chunks, as are the queries that read one list, so that no task holds more than both sizes.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -20,16 +22,17 @@ from pyspark.sql import functions as F
 
 from .shared import least_by_hash, stored
 
-#: Vectors from which centroids are learned, at most; all vectors are indexed.
-SAMPLE_ROWS = 16_384
+#: Vectors from which centroids are learned, and their bytes, at most; all vectors are indexed.
+SAMPLE_ROWS, SAMPLE_BYTES = 16_384, 32 << 20
 LIST_ROWS = 96
 MOST_LISTS = 8192
 CHUNK_ROWS = 4096
 EDGES, BEAM = 24, 96
+#: A beam has so many places for every list that is read.
+BEAM_RATIO = 1.5
 COPIES, COPY_RATIO = 6, 1.15
-PROBES, PROBE_RATIO = 64, 1.6
-#: A query reads up to one of so many lists, PROBES at least.
-PROBE_PART = 12
+#: A query reads up to PROBES lists of an index of PROBE_LISTS, and a number that grows with the square root of larger ones.
+PROBES, PROBE_LISTS, PROBE_RATIO = 64, 512, 1.6
 ROUNDS = 8
 SEED = 5
 
@@ -40,9 +43,9 @@ class Index(NamedTuple):
     entries: np.ndarray
     largest: float
 
-    def search(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(centroids, squared distances) that a best-first walk of the graph finds, nearest first."""
-        n, beam = len(points), min(BEAM, len(self.centroids))
+    def search(self, points: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """(centroids, squared distances) that a best-first walk of the graph finds, nearest first; `most` are wanted."""
+        n, beam = len(points), min(max(BEAM, math.ceil(BEAM_RATIO * most)), len(self.centroids))
         norms = (self.centroids**2).sum(axis=1)
 
         def distances(ids: np.ndarray) -> np.ndarray:
@@ -74,23 +77,13 @@ class Index(NamedTuple):
         ids, far = np.take_along_axis(ids, order, axis=1), np.take_along_axis(far, order, axis=1)
         return ids, np.maximum(far + (points**2).sum(axis=1)[:, None], 0.0)
 
-    def scan(self, points: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """(centroids, squared distances) of the nearest `most`, nearest first, from the distances to all."""
-        far = (self.centroids**2).sum(axis=1) - 2 * points @ self.centroids.T
-        ids = np.argpartition(far, most - 1, axis=1)[:, :most]
-        ids = np.take_along_axis(ids, np.argsort(np.take_along_axis(far, ids, axis=1), axis=1, kind="stable"), axis=1)
-        return ids, np.maximum(np.take_along_axis(far, ids, axis=1) + (points**2).sum(axis=1)[:, None], 0.0)
-
     def probes(self) -> int:
         """Lists that a query reads at most."""
-        return max(PROBES, -(-len(self.centroids) // PROBE_PART))
+        return max(PROBES, math.ceil(PROBES * math.sqrt(len(self.centroids) / PROBE_LISTS)))
 
     def lists(self, points: np.ndarray, most: int, ratio: float) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs: the nearest lists whose distance is at most `ratio` times the least, `most` at the most.
-
-        The walk finds the nearest few of its beam; for more, all centroids cost less than a beam that is wide enough.
-        """
-        ids, far = self.search(points) if most <= PROBES else self.scan(points, most)
+        """(row, list) pairs: the nearest lists whose distance is at most `ratio` times the least, `most` at the most."""
+        ids, far = self.search(points, most)
         near = np.sqrt(far[:, :most]) <= ratio * np.sqrt(far[:, :1]) + 1e-12
         near &= ids[:, :most] >= 0
         row, column = np.nonzero(near)
@@ -199,7 +192,8 @@ def nearest(vectors: DataFrame, is_query: Column, count: int = 20, id_column: st
     """(query_id, rank, vec_id, score): the `count` nearest found of each query row, the row's own id left out.
 
     Rows with a null id or an unusable vector (see `usable`) take no part, nor do vectors of another length than the most
-    common one (of equally common, the least). Rows of one id are one. Of equal scores the smaller id comes first.
+    common one (of equally common, the least). Rows of one id are one, that of the least vector. Of equal scores the smaller id
+    comes first.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("v"), is_query.alias("asks"))
@@ -209,17 +203,19 @@ def nearest(vectors: DataFrame, is_query: Column, count: int = 20, id_column: st
     schema = "query_id long, rank int, vec_id long, score double"
     if not lengths:
         return spark.createDataFrame([], schema)
-    rows = stored(rows.where(F.size("v") == lengths[0].n), "vectors")
+    rows = rows.where(F.size("v") == lengths[0].n)
+    rows = stored(rows.groupBy("id").agg(F.min("v").alias("v"), F.max("asks").alias("asks")), "vectors")
     first = Window.partitionBy("v").orderBy("id")
-    least = rows.select("v", "id").distinct().withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= count + 1)
+    least = rows.select("v", "id").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= count + 1)
     entries = stored(least.groupBy("v").agg(F.min("id").alias("key"), F.collect_list("id").alias("ids")), "entries")  # count + 1 ids at most
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     total, largest = entries.agg(F.count("*"), F.max(norm)).first()
-    sample = least_by_hash(entries.select("key", "v"), F.xxhash64("key"), SAMPLE_ROWS).select("v").collect()
+    wanted = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * lengths[0].n)))
+    sample = _matrix(least_by_hash(entries.select("key", "v"), F.xxhash64("key"), wanted).select("v").toArrow().column("v").combine_chunks())
     lists = max(1, min(MOST_LISTS, len(sample), -(-total // LIST_ROWS)))
-    index = spark.sparkContext.broadcast(build(np.array([x.v for x in sample]), float(largest), lists))
+    index = spark.sparkContext.broadcast(build(sample, float(largest), lists))
 
-    asked = rows.where("asks").select("id", "v").distinct().join(entries.select("v", "key"), "v").select("id", "key")
+    asked = rows.where("asks").select("id", "v").join(entries.select("v", "key"), "v").select("id", "key")
     asked = stored(asked, "queries")
     posts, post_chunks = _chunked(stored(_spread(entries, index, False), "posts"), "chunk")
     probes, probe_chunks = _chunked(stored(_spread(entries.join(asked.select("key").distinct(), "key"), index, True), "probes"), "part")
