@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from .shared import fresh, kept_by_worker
 
-#: Pages that reach the driver to learn from, at most, and their length at most. All pages are labelled, and whole.
-SAMPLE_PAGES, SAMPLE_CHARS = 200, 60_000
+#: Pages that reach the driver to learn from, and their UTF-8 bytes together, at most. All pages are labelled, and whole.
+SAMPLE_PAGES, SAMPLE_BYTES = 200, 8 << 20
+#: Blocks that the network learns from in one run; longer pages are learned from in several.
+RUN_BLOCKS = 300
 PATH_SIZE, WORD_SIZE, HIDDEN = 160, 32, 24
 EPOCHS, RATE, VARIANTS = 8, 0.01, 3
 #: Pages that run through the network together, and their blocks (padding included) at most.
@@ -196,11 +198,12 @@ def _names(step: str) -> list[str]:
 
 
 class Network(NamedTuple):
-    """Input, state and bias weights of both directions, and the weights of the output."""
+    """Input, state and bias weights of both directions, the weights of the output, and how many pages were learned from."""
 
     ahead: tuple[np.ndarray, np.ndarray, np.ndarray]
     back: tuple[np.ndarray, np.ndarray, np.ndarray]
     out: np.ndarray
+    pages: int = 0
 
     def scores(self, x: np.ndarray, real: np.ndarray) -> np.ndarray:
         """Log-odds that blocks are main text; x: blocks x pages x values, real: blocks that are no padding."""
@@ -213,7 +216,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _run(weights: tuple[np.ndarray, np.ndarray, np.ndarray], x: np.ndarray, real: np.ndarray, order) -> tuple[np.ndarray, list]:
+def _run(weights: tuple[np.ndarray, np.ndarray, np.ndarray], x: np.ndarray, real: np.ndarray, order, learning: bool = False) -> tuple[np.ndarray, list]:
+    """The outputs of one direction; when learning, with what the slopes need of every step."""
     inputs, state, bias = weights
     size = state.shape[0]
     z_in = x @ inputs + bias
@@ -226,7 +230,8 @@ def _run(weights: tuple[np.ndarray, np.ndarray, np.ndarray], x: np.ndarray, real
         m = real[t][:, None]
         new = f * c + i * g
         shown = np.tanh(new)
-        kept.append((t, i, f, o, g, c, h, shown, m))
+        if learning:
+            kept.append((t, i, f, o, g, c, h, shown, m))
         c, h = np.where(m, new, c), np.where(m, o * shown, h)
         out[t] = h
     return out, kept
@@ -300,28 +305,34 @@ def variant(found: list[Block], labels: list[bool], texts: list[str], dice: rand
 
 
 def train(pages: list[str]) -> Network:
-    """Fit on the sampled pages and their variants. Without a page that has a main element, the variants of a few lines."""
+    """Fit on the sampled pages and their variants, on all their blocks.
+
+    Without a page that has a main element, the variants of a few made-up lines must do; `pages` is 0 then.
+    """
     dice, noise = random.Random(SEED), np.random.default_rng(SEED)
     size = PATH_SIZE + WORD_SIZE + 8
     shapes = [(size, 4 * HIDDEN), (HIDDEN, 4 * HIDDEN), (4 * HIDDEN,)] * 2 + [(2 * HIDDEN + 1,)]
     weights = [noise.standard_normal(s) * (0.1 if len(s) > 1 else 0.0) for s in shapes]
     cut = [x for x in ((b, weak_labels(b)) for b in map(blocks, pages)) if x[1]]
+    learned = len(cut)
     if not cut:
         lines = [Block(("article", "p"), f"A line of text, number {k}, that ends here.", 0.0) for k in range(6)]
         cut = [(lines, [True] * len(lines))] * 20
     texts = [b.text for found, _ in cut for b in found]
     examples = [x for found, labels in cut for x in [(found, labels), *[variant(found, labels, texts, dice) for _ in range(VARIANTS)]]]
-    data = sorted(((vectors(found), np.array(labels)) for found, labels in examples), key=lambda x: len(x[0]))
+    whole = [(vectors(found), np.array(labels)) for found, labels in examples]
+    runs = [(v[k : k + RUN_BLOCKS], labels[k : k + RUN_BLOCKS]) for v, labels in whole for k in range(0, len(v), RUN_BLOCKS)]
+    data = sorted(runs, key=lambda x: len(x[0]))
     first, second, steps = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
     for _ in range(EPOCHS):
         for at in noise.permutation(range(0, len(data), 16)).tolist():
             batch = data[at : at + 16]
-            x, real = padded([v[:300] for v, _ in batch])
+            x, real = padded([v for v, _ in batch])
             gold = np.zeros(real.shape)
             for k, (_, labels) in enumerate(batch):
-                gold[: len(labels[:300]), k] = labels[:300]
-            ahead, kept_a = _run(tuple(weights[:3]), x, real, range(len(x)))
-            back, kept_b = _run(tuple(weights[3:6]), x, real, range(len(x) - 1, -1, -1))
+                gold[: len(labels), k] = labels
+            ahead, kept_a = _run(tuple(weights[:3]), x, real, range(len(x)), True)
+            back, kept_b = _run(tuple(weights[3:6]), x, real, range(len(x) - 1, -1, -1), True)
             seen = np.concatenate([ahead, back, np.ones((*ahead.shape[:2], 1))], axis=2)
             slope = (_sigmoid(seen @ weights[6]) - gold) * real / max(1, real.sum())
             above = slope[..., None] * weights[6]
@@ -336,7 +347,7 @@ def train(pages: list[str]) -> Network:
                 second[k] = 0.99 * second[k] + 0.01 * d**2
                 weights[k] = weights[k] - RATE * (first[k] / (1 - 0.9**steps)) / (np.sqrt(second[k] / (1 - 0.99**steps)) + 1e-8)
     small = [w.astype(np.float32) for w in weights]
-    return Network(tuple(small[:3]), tuple(small[3:6]), small[6])
+    return Network(tuple(small[:3]), tuple(small[3:6]), small[6], learned)
 
 
 def main_texts(network: Network, pages: list[str | None]) -> list[str]:
@@ -367,18 +378,24 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sample(pages: DataFrame, html_column: str = "html") -> list[str]:
     """At most SAMPLE_PAGES distinct pages with main text in a main element, the least by a hash of their html.
 
-    Copies count once. Only hashes of pages that may have a main element are sorted; where too few of the first ones have
+    Copies count once; a page that would take the sample over SAMPLE_BYTES, the driver's share, is left out, whatever its
+    length is. Only hashes of pages that may have a main element are sorted; where too few of the first ones have
     weak labels, more follow, four times as many each time, until the bound is reached or no page is left.
     """
-    rows = pages.where(F.length(html_column).between(1, SAMPLE_CHARS)).select(F.xxhash64(html_column).alias("hash"), F.col(html_column).alias("html"))
-    rest, found, take = rows, [], 2 * SAMPLE_PAGES
+    rows = pages.where(F.length(html_column) > 0).select(F.xxhash64(html_column).alias("hash"), F.col(html_column).alias("html"))
+    rest, found, take, room = rows, [], 2 * SAMPLE_PAGES, SAMPLE_BYTES
     while len(found) < SAMPLE_PAGES:
         likely = rest.where(F.col("html").rlike(r"(?i)<(?:article|main)[\s/>]"))
         n, last = likely.select("hash").distinct().orderBy("hash").limit(take).agg(F.count("*"), F.max("hash")).first()
         if not n:
             break
         part = likely.where(F.col("hash") <= last).mapInArrow(_labelled, "hash long, html string").dropDuplicates(["hash"])
-        found += [x.html for x in part.orderBy("hash").limit(SAMPLE_PAGES - len(found)).collect()]
+        fitting = []
+        for x in part.select("hash", F.octet_length("html").alias("size")).orderBy("hash").limit(SAMPLE_PAGES - len(found)).collect():
+            if x["size"] <= room:
+                fitting.append(x["hash"])
+                room -= x["size"]
+        found += [x.html for x in part.where(F.col("hash").isin(fitting)).orderBy("hash").collect()] if fitting else []
         if n < take:
             break
         rest, take = rows.where(F.col("hash") > last), 4 * take

@@ -75,8 +75,9 @@ def op8_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 def op9_html_extraction(spark: SparkSession, directory: str) -> DataFrame:
     pages = table(spark, directory, "pages")
-    texts = html.extract(pages, html.fit(pages), keep=["page_id", "url"])
-    return texts.withColumn("n_chars", F.length("text").cast("long"))
+    network = html.fit(pages)
+    texts = html.extract(pages, network, keep=["page_id", "url"])
+    return texts.withColumns({"n_chars": F.length("text").cast("long"), "pages_learned": F.lit(network.pages)})
 
 
 def op10_nearest_neighbours(spark: SparkSession, directory: str) -> DataFrame:
