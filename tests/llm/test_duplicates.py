@@ -97,6 +97,14 @@ def test_null_ids_keep_one_row_of_each_class(spark):
     assert sorted((r.doc_id is None, r.text) for r in simhash.drop_near_copies(docs).collect()) == sorted([(True, texts[0]), (False, texts[2])])
 
 
+def test_repeated_ids_with_other_texts_lose_no_class(spark):
+    """(5, A), (5, B), (3, B): class A keeps (5, A), class B (3, B); of repeated rows one stays."""
+    a, b = helpers.prose(1, 60), helpers.prose(2, 60)
+    for rows in ([(5, a), (5, b), (3, b)], [(5, b), (3, b), (5, a), (5, a)]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        assert sorted(tuple(r) for r in simhash.drop_near_copies(docs).collect()) == [(3, b), (5, a)]
+
+
 # ---- decontamination ------------------------------------------------------------------------------
 
 

@@ -145,6 +145,25 @@ def test_base_spans_equal_the_rules(spark):
     assert {r.k: [(x.start, x.kind, x.end) for x in r.s] for r in rows} == {k: plain_spans(t) for k, t in enumerate(texts)}
 
 
+def test_long_texts_with_thousands_of_spans(spark):
+    """Blocks of folds, chunks of text and binary search give what the plain rules and a plain replacement give."""
+    dice = random.Random(8)
+    parts = ["mail a.b@c.org", "host 10.0.0.7", "pay 4111 1111 1111 1111", "call +49 30 1234567", "call 212-555-0143", "x at y dot org", "\U0001d4b3 漢", "1.2.3.999"]
+    text = " ".join(dice.choice(parts) + " " * dice.randrange(3) for _ in range(6000))
+    docs = spark.createDataFrame([(1, text), (2, " ".join(parts))], "doc_id long, text string")
+    marked = pii.with_spans(docs, pii.fit(docs)).select("row.doc_id", "base", "spans", pii.redacted(F.col("row.text"), F.col("spans")).alias("clean"))
+    for row in marked.collect():
+        whole = text if row.doc_id == 1 else " ".join(parts)
+        assert [tuple(x) for x in row.base] == plain_spans(whole)
+        spans, at, out = [tuple(x) for x in row.spans], 0, []
+        assert set(map(tuple, row.base)) <= set(spans) and spans == sorted(spans)
+        for start, kind, end in spans:
+            if start >= at:
+                out += [whole[at:start], f"[{pii.KINDS[kind].upper()}]"]
+            at = max(at, end)
+        assert row.clean == "".join(out) + whole[at:]
+
+
 def test_trees_score_alike_in_sql_and_plain(spark):
     dice = random.Random(2)
     rows = [tuple(dice.randint(0, 3) for _ in pii.FEATURES) for _ in range(200)]
@@ -213,7 +232,7 @@ def test_slopes_of_the_network_equal_differences():
     def loss(w):
         return float((html._run(w, x, real, range(4))[0] * above).sum())
 
-    slopes = html._slopes(weights, x, html._run(weights, x, real, range(4))[1], above)
+    slopes = html._slopes(weights, x, html._run(weights, x, real, range(4), True)[1], above)
     for k, at in ((0, (2, 7)), (1, (1, 4)), (2, (10,))):
         moved = [w.copy() for w in weights]
         moved[k][at] += 1e-6
@@ -282,6 +301,29 @@ def test_sample_counts_distinct_pages_with_main_text(spark, monkeypatch):
     assert html.sample(frame.where(F.col("html").isin(bad))) == []
 
 
+def long_page(k):
+    """400 menu links, then the article: over 60,000 characters, and its main text starts at block 400."""
+    menu = "".join(f"<li><a href='/{k}/{n}'>Section {n} of list {n % 7} with some more words to make the link long enough</a></li>" for n in range(400))
+    body = "".join(f"<p>Paragraph {n} of story {k} tells at some length, in whole sentences, what happened on day {n * k}.</p>" for n in range(30))
+    return f"<html><body><nav><ul>{menu * 2}</ul></nav><article>{body}</article><footer>Imprint and contact</footer></body></html>"
+
+
+def test_long_pages_are_learned_from_whole(spark):
+    pages = spark.createDataFrame([(k, "u", long_page(k)) for k in range(12)], "page_id long, url string, html string")
+    assert len(long_page(1)) > 60_000 and len(html.sample(pages)) == 12
+    network = html.fit(pages)
+    assert network.pages == 12
+    found = html.main_texts(network, [long_page(99)])[0].split("\n")
+    assert len(found) >= 28 and all(x.startswith("Paragraph") for x in found)
+
+
+def test_a_page_over_the_driver_share_is_not_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(html, "SAMPLE_BYTES", 3 * len(long_page(1)))
+    pages = spark.createDataFrame([(k, "u", long_page(k)) for k in range(6)], "page_id long, url string, html string")
+    assert 2 <= len(html.sample(pages)) <= 3
+    assert html.fit(pages.limit(0)).pages == 0
+
+
 # ---- neighbours -----------------------------------------------------------------------------------
 
 
@@ -320,6 +362,38 @@ def test_few_and_no_vectors(spark):
     assert neighbours.nearest(frame.limit(0), F.lit(True)).columns == ["query_id", "rank", "vec_id", "score"]
 
 
+def test_rows_of_one_id_are_one(spark):
+    """The least vector counts, for queries and candidates."""
+    rows = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [1.0, 1.0]), (7, [0.5, 0.5]), (7, [0.25, 2.0]), (7, [0.25, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [(r.query_id, r.rank, r.vec_id, r.score) for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()]
+    assert found == [(0, 1, 7, 0.25), (0, 2, 20, 0.0), (20, 1, 7, 2.0), (20, 2, 0, 0.0)]
+
+
+@pytest.mark.parametrize(("lists", "unit", "least"), [(3, False, 1.0), (200, False, 0.95), (3000, False, 0.85), (3000, True, 0.99)])
+def test_the_walk_finds_the_lists_that_all_distances_give(lists, unit, least):
+    """Vectors of very different lengths are harder: queries lie aside of the points then."""
+    dice = np.random.default_rng(lists)
+    points = dice.normal(size=(max(lists, 50), 16))
+    points = points / np.sqrt((points**2).sum(axis=1))[:, None] if unit else points
+    index = neighbours.build(points, float(np.sqrt((points**2).sum(axis=1)).max()), lists)
+    asked = index.query_points(dice.normal(size=(40, 16)))
+    most = index.probes()
+    ids, far = index.search(asked, most)
+    want = ((asked[:, None, :] - index.centroids[None]) ** 2).sum(axis=2)
+    met = sum(len(set(ids[k][:most].tolist()) & set(np.argsort(want[k])[:most].tolist())) for k in range(40))
+    assert met >= least * 40 * min(most, lists)
+    known = ids[:, 0]
+    assert np.allclose(far[:, 0], want[np.arange(40), known])
+
+
+def test_probes_grow_slower_than_lists():
+    def read(lists):
+        return neighbours.Index(np.zeros((lists, 1)), None, None, 1.0).probes()
+
+    assert read(100) == read(512) == neighbours.PROBES and read(8192) == 4 * neighbours.PROBES
+
+
 def test_recall_over_many_lists(spark, monkeypatch):
     """With far more lists than a query reads."""
     monkeypatch.setattr(neighbours, "LIST_ROWS", 8)
