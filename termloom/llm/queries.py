@@ -116,8 +116,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_sharding": op13_sharding,
 }
 
-#: DuckDB SQL of the queries that SQL can express. The CRC-32 of the features is spelled out, byte by byte.
+#: DuckDB SQL of the queries that SQL can express. Op8 spells all windows of all texts as hex digits; for op11 the CRC-32 of
+#: the features is spelled out, byte by byte.
 ORACLE: dict[str, str] = {
+    "op8_suffix_dedup": """
+        WITH raw AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        blocks AS (
+            SELECT doc_id, b, substr(h, 2 * b + 1, 2 * 1049) AS part
+            FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49, 1000)) AS b FROM raw WHERE length(h) >= 100)),
+        windows AS (
+            SELECT doc_id, b + i AS p, substr(part, 2 * i + 1, 100) AS w
+            FROM (SELECT doc_id, b, part, unnest(range(length(part) // 2 - 49)) AS i FROM blocks)),
+        least AS (SELECT w, min(doc_id) AS least FROM windows GROUP BY w HAVING count(DISTINCT doc_id) > 1),
+        marked AS (SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM windows JOIN least USING (w) WHERE doc_id > least),
+        numbered AS (SELECT doc_id, p, count(*) FILTER (gap IS NULL OR gap > 50) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked),
+        runs AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS z FROM numbered GROUP BY doc_id, run),
+        after AS (SELECT *, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS next FROM runs),
+        pieces AS (
+            SELECT doc_id, min(a) AS first, sum(z - a) AS gone, count(*) AS n,
+                string_agg(substr(h, 2 * z + 1, 2 * (coalesce(next, length(h) // 2) - z)), '' ORDER BY a) AS rest
+            FROM after JOIN raw USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
+            sha256(unhex(CASE WHEN n IS NULL THEN h ELSE substr(h, 1, 2 * first) || rest END)) AS kept_sha256
+        FROM raw LEFT JOIN pieces USING (doc_id)""",
     "op11_importance_resampling": r"""
         WITH crc AS (
             SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:

@@ -18,7 +18,7 @@ from termloom.llm.queries import ORACLE, QUERIES
 DATA = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op11_importance_resampling", "op12_hard_negatives"])
+@pytest.mark.parametrize("name", ["op8_suffix_dedup", "op11_importance_resampling", "op12_hard_negatives"])
 def test_query_equals_sql(spark, name):
     assert compare.assert_same(QUERIES[name](spark, DATA), compare.star_database(DATA), ORACLE[name]) > 100
 
