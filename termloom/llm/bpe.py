@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import sys
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -28,9 +29,11 @@ ID_BITS = 24
 EMPTY = np.uint64(2**64 - 1)
 #: Words of more bytes are merged one by one from a heap; a matrix would need a round for each of their bytes.
 MATRIX_BYTES = 128
-#: Text that is encoded at once, and chunks that a worker remembers.
+#: Text that is encoded at once.
 PART_CHARS = 1 << 20
-REMEMBERED = 250_000
+#: About the memory that a worker's remembered chunks and words take; longer ones than LONGEST characters are not remembered.
+REMEMBERED_BYTES = 128 << 20
+LONGEST = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -171,8 +174,13 @@ def encode_words(table: dict, words: Iterable[str]) -> Iterator[tuple[str, bytes
             yield from ((texts[word], ids) for word, ids in merge_matrix(table, same[at : at + 20_000]))
 
 
+def entry_bytes(entries: dict[str, bytes]) -> int:
+    """About the memory that the entries take in a dictionary."""
+    return sum(sys.getsizeof(k) + sys.getsizeof(v) + 100 for k, v in entries.items())
+
+
 class Encoder:
-    """Encodes texts in a worker; remembers chunks and words."""
+    """Encodes texts in a worker; remembers short chunks and words, up to a number of bytes."""
 
     def __init__(self, table: dict, pattern: str):
         self.table, self.words_of = table, regex.compile(pattern).findall
@@ -180,27 +188,38 @@ class Encoder:
         self.after_blank: dict[str, bytes] = {}  # chunks without the blank before them
         self.as_is: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.held = 0
 
     def split(self, chunk: str) -> list[str]:
         """The pattern's words of a chunk; letters after at most one blank are one word."""
         return [chunk] if chunk[chunk[:1] == " " :].isalpha() else self.words_of(chunk)
 
-    def learn(self, known: dict[str, bytes], chunks: set[str], before: str) -> None:
+    def learn(self, chunks: set[str], before: str) -> dict[str, bytes]:
+        """Ids of chunks that are not known. Short words stay known; long ones only until these chunks are done."""
         words = {chunk: self.split(before + chunk) for chunk in chunks}
-        self.words.update(encode_words(self.table, {w for ws in words.values() for w in ws if w not in self.words}))
+        new = dict(encode_words(self.table, {w for ws in words.values() for w in ws if w not in self.words}))
+        self.words.update(new)
         get = self.words.__getitem__
-        known.update((chunk, get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws))) for chunk, ws in words.items())
+        found = {chunk: get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws)) for chunk, ws in words.items()}
+        for word in [w for w in new if len(w) > LONGEST]:
+            del self.words[word], new[word]
+        self.held += entry_bytes(new)
+        return found
 
     def look_up(self, known: dict[str, bytes], before: str, chunks: list[list[str]]) -> list[list[bytes]]:
         found = [list(map(known.get, x)) for x in chunks]
-        self.learn(known, {c for x, ids in zip(chunks, found, strict=True) if None in ids for c, i in zip(x, ids, strict=True) if i is None}, before)
-        return [[known[c] if i is None else i for c, i in zip(x, ids, strict=True)] if None in ids else ids for x, ids in zip(chunks, found, strict=True)]
+        new = self.learn({c for x, ids in zip(chunks, found, strict=True) if None in ids for c, i in zip(x, ids, strict=True) if i is None}, before)
+        short = {c: i for c, i in new.items() if len(c) <= LONGEST}
+        known.update(short)
+        self.held += entry_bytes(short)
+        return [[new[c] if i is None else i for c, i in zip(x, ids, strict=True)] if None in ids else ids for x, ids in zip(chunks, found, strict=True)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The pattern's words end before white space that follows other characters, so no word crosses these cuts."""
-        for known in (self.after_blank, self.as_is, self.words):
-            if len(known) > REMEMBERED:
+        if self.held > REMEMBERED_BYTES:
+            for known in (self.after_blank, self.as_is, self.words):
                 known.clear()
+            self.held = 0
         tight = [bool(self.tight.search(x)) for x in texts]
         whole = [self.runs.findall(x) if t else [x.split(" ", 1)[0]] for x, t in zip(texts, tight, strict=True)]
         rest = [[] if t else x.split(" ")[1:] for x, t in zip(texts, tight, strict=True)]

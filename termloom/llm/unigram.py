@@ -8,6 +8,7 @@ least score and counts as its bytes (byte fallback) or, with other such characte
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -25,7 +26,9 @@ from .shared import fresh, kept_by_worker
 #: The mark that stands for a blank inside pieces.
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 1_000_000
+#: About the memory that a worker's remembered segments take; longer ones than LONGEST characters are not remembered.
+REMEMBERED_BYTES = 128 << 20
+LONGEST = 64
 
 
 class Vocabulary(NamedTuple):
@@ -43,7 +46,7 @@ def read_vocabulary(path: str) -> Vocabulary:
 
 
 class Counter:
-    """Counts pieces of texts in a worker; remembers segments."""
+    """Counts pieces of texts in a worker; remembers short segments, up to a number of bytes."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
@@ -61,6 +64,7 @@ class Counter:
         self.segment = re.compile(f"{BLANK}*[^{BLANK}\n]+|\n|{BLANK}+" if self.cut_lines else f"{BLANK}*[^{BLANK}]+|{BLANK}+")
         self.after_blank: dict[str, tuple[int, float]] = {}
         self.as_is: dict[str, tuple[int, float]] = {}
+        self.held = 0
 
     def best(self, text: str) -> tuple[int, float]:
         """(pieces, score) of the best path through one segment."""
@@ -99,7 +103,10 @@ class Counter:
         for segment in segments:
             found = get(segment)
             if found is None:
-                found = known[segment] = self.best(before + segment)
+                found = self.best(before + segment)
+                if len(segment) <= LONGEST:
+                    known[segment] = found
+                    self.held += sys.getsizeof(segment) + 220  # the pair, its two numbers and the place in the dictionary
             total += found[0]
             value += found[1]
         return total, value
@@ -107,9 +114,10 @@ class Counter:
     def __call__(self, text: str) -> tuple[int, float]:
         if not text:
             return 0, 0.0
-        for known in (self.after_blank, self.as_is):
-            if len(known) > REMEMBERED:
-                known.clear()
+        if self.held > REMEMBERED_BYTES:
+            self.after_blank.clear()
+            self.as_is.clear()
+            self.held = 0
         text = text.replace(BLANK, " ")
         text = " " + text if self.vocabulary.dummy_prefix else text
         if not self.cut_blanks:

@@ -28,8 +28,12 @@ def table():
     return bpe.pair_table(bpe.read_ranks(RANKS))
 
 
-def test_bpe_equals_the_public_library(table):
-    public = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+@pytest.fixture(scope="module")
+def public():
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+
+
+def test_bpe_equals_the_public_library(table, public):
     texts = odd_texts(3000)
     own = bpe.Encoder(table, public_tokenizers.PATTERN)(texts)
     assert [np.frombuffer(x, "<u4").tolist() for x in own] == [public.encode_ordinary(x) for x in texts]
@@ -42,12 +46,28 @@ def test_long_words_merge_alike_from_the_heap(table):
 
 
 def test_a_full_memory_starts_anew(table, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 2)
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 2)
     encoder = bpe.Encoder(table, public_tokenizers.PATTERN)
     first = encoder(["some words here", "and some more"])
     assert encoder(["some words here", "and some more"]) == first
 
 
+def test_texts_without_blanks_are_not_remembered(table, public):
+    """Long chunks and words give the public library's ids, and the memory stays as small as its short entries."""
+    encoder, dice = bpe.Encoder(table, public_tokenizers.PATTERN), random.Random(8)
+    texts = ["".join(chr(dice.randrange(0x4E00, 0x9FA5)) for _ in range(700)) for _ in range(40)] + ["short words", "x" * 90 + "," + "yz" * 50]
+    for _ in range(2):
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder(texts)] == [public.encode_ordinary(t) for t in texts]
+    known = [encoder.after_blank, encoder.as_is, encoder.words]
+    assert sum(map(bpe.entry_bytes, known)) == encoder.held < 4000 and max(len(k) for x in known for k in x) <= bpe.LONGEST
+
+
+def test_counting_remembers_short_segments_only():
+    counter = unigram.Counter(unigram.Vocabulary({"▁": -2.0, "a": -1.0, "aa": -1.5}, True))
+    assert counter("aa " + "a" * 999 + " aa") == counter("aa " + "a" * 999 + " aa")
+    assert counter.as_is.keys() | counter.after_blank.keys() <= {"aa", "▁aa"}
+
+
 def test_round_trip_over_odd_documents(spark):
     docs = helpers.odd_documents(spark)
     out = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
