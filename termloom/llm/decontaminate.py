@@ -16,7 +16,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_or_merged, stored
+from .shared import small_or_merged, stored, stored_with
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -86,19 +86,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     n = F.size("words")
     width = F.least(n, F.lit(WIDTH))
     items = items.select(F.monotonically_increasing_id().alias("item"), "item_id", "words", n.alias("n"), width.alias("width"), (n - width + 1).alias("m"))
-    items = stored(items, "items")
-    widths = [x.width for x in items.select("width").distinct().collect()] or [WIDTH]  # 1 to 5
+    items, seen = stored_with(items, "items", **{f"w{k}": F.max(F.col("width") == k) for k in range(1, WIDTH + 1)})
+    widths = [k for k in range(1, WIDTH + 1) if seen[f"w{k}"]] or [WIDTH]
     need = F.ceil(F.lit(similarity - 1e-9) * F.col("m")).cast("int")
     index = shingle_rows(items, ["item", "n", "m"], widths).join(items.select("item", F.col("width").alias("own")), "item").where("width = own")
-    index = small_or_merged(stored(index.select("hash", "item", "n", "m", "width").distinct(), "item-shingles"))
+    index, seen = stored_with(index.select("hash", "item", "n", "m", "width").distinct(), "item-shingles")
+    index = small_or_merged(index, seen["rows"])
 
     texts = docs.select(*text_key(), words_of(F.col("text")).alias("words"))
     hits = shingle_rows(texts, ["k1", "k2"], widths).select("k1", "k2", "p", "hash").join(index, "hash")
     held = hits.groupBy("k1", "k2", "item", "n", "m").agg(F.count("*").alias("hits")).where(F.col("hits") >= need)
-    held = stored(held.select("k1", "k2", "item", "n", "m", "hits"), "held")
+    held, seen = stored_with(held.select("k1", "k2", "item", "n", "m", "hits"), "held")
 
     # From here on: texts with enough shingles of an item only.
-    keyed = docs.select(*text_key(), "text").join(small_or_merged(held.select("k1", "k2").distinct()), ["k1", "k2"])
+    keyed = docs.select(*text_key(), "text").join(small_or_merged(held.select("k1", "k2").distinct(), seen["rows"]), ["k1", "k2"])
     keyed = stored(keyed.dropDuplicates(["k1", "k2"]).select("k1", "k2", words_of(F.col("text")).alias("words")), "texts")
     places = shingle_rows(keyed, ["k1", "k2"], widths).select("k1", "k2", "p", "hash").join(index, "hash")
     places = places.join(held.select("k1", "k2", "item"), ["k1", "k2", "item"])
@@ -126,7 +127,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     flips = sorted({sum(1 << b for b in bits) for size in range(radius // BLOCKS + 1) for bits in itertools.combinations(range(BLOCK_BITS), min(size, BLOCK_BITS))})
     variants = item_marks.select("item", "n", F.col("fp").alias("item_fp"), F.posexplode(block_values(F.col("fp"))).alias("block", "value"))
     variants = variants.select("item", "n", "item_fp", "block", F.explode(F.transform(F.array(*map(F.lit, flips)), lambda x: x.bitwiseXOR(F.col("value")))).alias("value"))
-    variants = small_or_merged(stored(variants, "item-blocks"))
+    variants, seen = stored_with(variants, "item-blocks")
+    variants = small_or_merged(variants, seen["rows"])
     near = marked.select(*id4, "fp", F.posexplode(block_values(F.col("fp"))).alias("block", "value")).join(variants, ["n", "block", "value"])
     near = near.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select(*id4, "item").distinct()
 
@@ -142,16 +144,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, start, n_words, similarity): one row for each row of `docs` and each item that it holds."""
-    found = stored(matches(docs, benchmark), "matches")
-    return docs.select("doc_id", *text_key()).join(small_or_merged(found), ["k1", "k2"]).select("doc_id", "item_id", "start", "n_words", "similarity")
+    found, seen = stored_with(matches(docs, benchmark), "matches")
+    return docs.select("doc_id", *text_key()).join(small_or_merged(found, seen["rows"]), ["k1", "k2"]).select("doc_id", "item_id", "start", "n_words", "similarity")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows that hold no item; all columns stay, also of rows with null texts or ids."""
     k1, k2 = fresh_pair(docs)
-    found = stored(matches(docs, benchmark).select("k1", "k2").distinct(), "matches").toDF(k1, k2)
+    found, seen = stored_with(matches(docs, benchmark).select("k1", "k2").distinct(), "matches")
+    found = small_or_merged(found.toDF(k1, k2), seen["rows"])
     keys = [key.alias(name) for key, name in zip(text_key(), (k1, k2), strict=True)]
-    return docs.select("*", *keys).join(small_or_merged(found), [k1, k2], "left_anti").select(*docs.columns)
+    return docs.select("*", *keys).join(found, [k1, k2], "left_anti").select(*docs.columns)
 
 
 def fresh_pair(docs: DataFrame) -> tuple[str, str]:

@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,6 +32,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_with(df: DataFrame, label: str, **figures: Column) -> tuple[DataFrame, dict[str, Any]]:
+    """A stored table and aggregates over it, its `rows` among them, taken while it is written: no job of their own."""
+    figures = {"rows": F.count(F.lit(1)), **figures}
+    seen = Observation()
+    table = stored(df.observe(seen, *[figure.alias(name) for name, figure in figures.items()]), label)
+    found = seen.get
+    if set(figures) - set(found):  # an optimizer rule took the whole plan away
+        found = table.agg(*[figure.alias(name) for name, figure in figures.items()]).first().asDict()
+    return table, found
+
+
 def star(edges: DataFrame, large: bool) -> DataFrame:
     """One step of the alternating stars: every vertex points its (larger or smaller) neighbours at the least one."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -51,14 +62,10 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     Alternating large and small stars; each round is a table in the shared folder. The number of rounds grows with the
     logarithm of the vertex count; no vertex gathers its neighbours in one task.
     """
-    def mark(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-
-    now = stored(star(stored(edges, label), True), label)
-    before = mark(now)
-    while before[0]:
-        now = stored(star(star(now, False), True), label)
-        after = mark(now)
+    total = F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))
+    now, before = stored_with(star(stored(edges, label), True), label, total=total)
+    while before["rows"]:
+        now, after = stored_with(star(star(now, False), True), label, total=total)
         if after == before:
             break
         before = after
@@ -90,10 +97,14 @@ def kept_by_worker(kind: str, key: str, make: Callable[[], Any]) -> Any:
 BROADCAST_BYTES = 32 << 20
 
 
-def small_or_merged(df: DataFrame) -> DataFrame:
-    """A table counted before a join: broadcast if it is small, else held to a shuffled join with the same result."""
+def small_or_merged(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A table counted before a join: broadcast if it is small, else held to a shuffled join with the same result.
+
+    rows: a bound on its rows that is known already.
+    """
     width = sum({"string": 64, "array": 256}.get(f.dataType.typeName(), 16) for f in df.schema.fields)
-    return F.broadcast(df) if df.count() * width <= BROADCAST_BYTES else df.hint("merge")
+    rows = df.count() if rows is None else rows
+    return F.broadcast(df) if rows * width <= BROADCAST_BYTES else df.hint("merge")
 
 
 def least_by_hash(df: DataFrame, order: Column, most: int) -> DataFrame:

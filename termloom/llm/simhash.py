@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, hex64, stored, text_batches
+from .shared import components, hex64, small_or_merged, stored, stored_with, text_batches
 
 #: Rows of a group that one task joins at most; larger groups are cut into chunks, and pairs of chunks are joined.
 GROUP_ROWS = 8192
@@ -195,13 +195,20 @@ def drop_near_copies(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFr
 
     Only rows whose id is null or repeated are told apart by their texts; all others are kept by their id alone.
     """
-    classes = stored(near_classes(docs, width=width, radius=radius), "near")
-    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "fp")).alias("first")
-    chosen = stored(classes.groupBy("root").agg(first).select("first.id", "first.fp"), "chosen")
-    counts = classes.groupBy("id").agg(F.count("*").alias("n"))
-    several = stored(counts.where("n > 1 or id is null").select("id"), "several")
-    sole = chosen.join(several.hint("merge"), "id", "left_anti").where("id is not null").select(F.col("id").alias("doc_id"))
-    named = docs.join(sole, "doc_id", "left_semi")
+    marked = stored(fingerprints(docs, width=width), "fingerprints")
+    # Least ids go up from rows to fingerprints to classes; no row is joined with its class.
+    leasts = marked.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id")).alias("least"))
+    roots = components(hamming_links(leasts.select("fp"), radius), "classes")
+    rooted = leasts.join(roots.hint("merge"), leasts.fp == roots.u, "left").withColumn("root", F.coalesce("root", "fp"))
+    first = F.min(F.struct("least.nameless", "least.id", "fp")).alias("first")
+    chosen, seen = stored_with(rooted.groupBy("root").agg(first).select("first.id", "first.fp"), "chosen")
+    counts = marked.groupBy("id").agg(F.count("*").alias("n"))
+    several, told = stored_with(counts.where("n > 1 or id is null").select("id"), "several")
+    sole = chosen.where("id is not null").select(F.col("id").alias("doc_id"))
+    if not told["rows"]:
+        return docs.join(small_or_merged(sole, seen["rows"]), "doc_id", "left_semi").select(*docs.columns)
+    sole = sole.join(small_or_merged(several.select(F.col("id").alias("doc_id")), told["rows"]), "doc_id", "left_anti")
+    named = docs.join(small_or_merged(sole, seen["rows"]), "doc_id", "left_semi")
 
     marks = F.pandas_udf(lambda texts: texts.map(lambda x: fingerprint(x, width)), "long")
     rest = docs.join(several, docs.doc_id.eqNullSafe(several.id), "left_semi")
