@@ -29,8 +29,8 @@ FOLDS = 4
 #: Raw scores are calibrated on a grid of so many steps per unit, from -1 to 2.
 GRID = 512
 SEED = 20_24
-#: Sums that reach the driver.
-LAST_SUMS = 8
+#: Parts into which a sum is cut, each added up by itself.
+SLICES = 64
 
 
 def _class_of_byte() -> np.ndarray:
@@ -137,7 +137,6 @@ def fit(marked: DataFrame, ridge: float = 1e-3, width: float = 4.0) -> Model:
     )
     if not means[0]:
         return model
-    size = (FEATURES + 1) * (FEATURES + 2)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((FOLDS, FEATURES + 1, FEATURES + 2))
@@ -149,18 +148,20 @@ def fit(marked: DataFrame, ridge: float = 1e-3, width: float = 4.0) -> Model:
                 total[k] += own.T @ np.hstack([own, y[fold == k][:, None]])
         if not total.any():
             return
-        yield pa.record_batch([pa.array([int(abs(total[:, 0, 0].sum()) * 1e6) % LAST_SUMS], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["to", "total"])
+        cut = [x.tobytes() for x in np.array_split(total.ravel(), SLICES)]
+        yield pa.record_batch([pa.array(range(SLICES), pa.int32()), pa.array(cut, pa.binary())], ["slice", "total"])
 
     def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(FOLDS * size)
+        totals: dict[int, np.ndarray] = {}  # a partition without a slice sends nothing
         for batch in batches:
-            for value in batch.column("total"):
-                total += np.frombuffer(value.as_buffer(), np.float64)
-        yield pa.record_batch([pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["to", "total"])
-
-    parts = marked.select("fold", F.col("label").cast("double").alias("label"), *STATISTICS).mapInArrow(sums, "to int, total binary")
-    last = parts.repartition(LAST_SUMS, "to").mapInArrow(sum_up, "to int, total binary").collect()
-    each = np.sum([np.frombuffer(x.total, np.float64).reshape(FOLDS, FEATURES + 1, FEATURES + 2) for x in last], axis=0)
+            for k, value in zip(batch.column("slice").to_pylist(), batch.column("total"), strict=True):
+                totals[k] = totals.get(k, 0.0) + np.frombuffer(value.as_buffer(), np.float64)
+        yield pa.record_batch([pa.array(list(totals), pa.int32()), pa.array([x.tobytes() for x in totals.values()], pa.binary())], ["slice", "total"])
+
+    parts = marked.select("fold", F.col("label").cast("double").alias("label"), *STATISTICS).mapInArrow(sums, "slice int, total binary")
+    summed = parts.repartition(SLICES, "slice").mapInArrow(sum_up, "slice int, total binary").collect()  # each slice once: the size of one sum
+    each = np.concatenate([np.frombuffer(x.total, np.float64) for x in sorted(summed, key=lambda x: x.slice)])
+    each = each.reshape(FOLDS, FEATURES + 1, FEATURES + 2)
     penalty = np.eye(FEATURES + 1)
     penalty[-1, -1] = 1e-9
 

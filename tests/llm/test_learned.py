@@ -37,6 +37,28 @@ def test_summed_normal_equations_equal_one_solve(spark):
     assert np.allclose(x @ np.linalg.solve(x.T @ x + penalty, x.T @ y), x @ model.weights[:, -1], atol=1e-5)
 
 
+def test_one_sum_reaches_the_driver(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "Some words. " * (k % 7) + "!" * (k % 3)) for k in range(200)], "doc_id long, text string").repartition(40)
+    labels = spark.createDataFrame([(k, int(k % 3 != 0)) for k in range(200)], "doc_id long, quality int")
+    found, sent, collect = quality.with_statistics(docs), [], type(docs).collect
+
+    def seen(df):
+        rows = collect(df)
+        sent.extend(len(x.total) for x in rows if "total" in x)
+        return rows
+
+    monkeypatch.setattr(type(docs), "collect", seen)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "150")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        quality.learn(found, labels)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(sent) == quality.SLICES and sum(sent) == 8 * quality.FOLDS * (quality.FEATURES + 1) * (quality.FEATURES + 2)
+
+
 def test_quality_on_held_out_rows(spark):
     rows = queries.op6_quality_classifier(spark, "/root/testdata/sf0.01").toPandas()
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").toPandas().merge(rows, on="doc_id")
