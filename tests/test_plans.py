@@ -111,6 +111,20 @@ def test_the_whole_conversion_is_planned_lazily_and_scans_once(spark, stored):
     assert by_table == {"courses": 1, "candidacy": 1, "degrees": 2}
 
 
+def test_nothing_runs_twice(spark, stored):
+    """Next terms and the sort, which reads its input twice, read the finished rows' shuffle and no window."""
+    result = student_term_history(stored, STAR_CONFIG)
+    result.collect()
+    text = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    lines = [re.sub(r"^[ :+\-]*\*?(\(\d+\) )?", "", line) for line in text.splitlines()]
+    windows = [i for i, line in enumerate(lines) if line.startswith("Window [")]
+    assert len([i for i in windows if "bit_or(flags" in lines[i]]) == 1
+    sort = next(i for i, line in enumerate(lines) if line.startswith("Exchange rangepartitioning"))
+    shuffle = next(i for i, line in enumerate(lines) if i > sort and line.startswith("Exchange hashpartitioning"))
+    assert not [i for i in windows if sort < i < shuffle]
+    assert [line for line in lines if line.startswith("ReusedExchange") and "pidm" in line]
+
+
 def test_result_is_sorted(spark, stored):
     rows = student_term_history(stored, STAR_CONFIG).select("pidm", "term_code_eff", "sort").collect()
     key = [tuple((v is not None, v or 0) for v in r) for r in rows]
